@@ -39,7 +39,7 @@ def _(t):
     "DS-3",
 )
 def _(t):
-    return t.offers()
+    return money.without_cents(t.offers())
 
 
 @query(
@@ -51,7 +51,7 @@ def _(t):
     "DS-4", "PRJ-2", "PRJ-5",
 )
 def _(t):
-    return t.flagged_sales()
+    return money.without_cents(t.flagged_sales())
 
 
 @query(
@@ -108,7 +108,7 @@ def _(t):
     "DS-9", "JN-7", "SNK-5",
 )
 def _(t):
-    return detailed(t).drop("supplier_id")
+    return money.without_cents(detailed(t)).drop("supplier_id")
 
 
 def detailed(t):

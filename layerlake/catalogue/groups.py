@@ -10,7 +10,7 @@ from ..operators import ranking
 from ..operators.dedup import first_by_key
 from ..operators.pricing import difference_to_unrounded_mean, mean_difference_by
 from ..operators.segments import customer_totals
-from .joins import _raw_priced, t_segments
+from .joins import t_segments
 from .reference_sql import big, day, half_up, pct, shown, sql, ts
 from .registry import query
 
@@ -25,7 +25,7 @@ TICKET = f"CAST({half_up('sum(cents)', 'count(*)')} AS DOUBLE) / 100 AS avg_tick
     "AG-1", "QY-3",
 )
 def _(t):
-    return agg.kpis(_raw_priced(t).join(t.raw_orders(), "order_id"))
+    return agg.kpis(t.raw_priced().join(t.raw_orders(), "order_id"))
 
 
 @query(
@@ -36,12 +36,12 @@ def _(t):
     "AG-2", "AG-3",
 )
 def _(t):
-    price = money.amount("l_extendedprice")
-    lines = t.table("lineitem").select("l_returnflag", "l_linestatus", "l_quantity", price.alias("price"))
+    cents = money.price_cents("l_extendedprice").alias("price_cents")
+    lines = t.table("lineitem").select("l_returnflag", "l_linestatus", "l_quantity", cents)
     return lines.groupBy("l_returnflag", "l_linestatus").agg(
         F.count("*").alias("n_rows"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("items"),
-        money.total("price").alias("price_total"),
+        money.total_of(lines, "price").alias("price_total"),
     )
 
 

@@ -12,12 +12,6 @@ from .reference_sql import big, day, half_up, pct, shown, sql
 from .registry import query
 
 
-def _raw_priced(t):
-    """Raw lines, repeats included, with exact revenue."""
-    priced = t.raw_lines().withColumn("unit_price", money.amount("unit_price"))
-    return priced.withColumn("revenue", money.line_revenue("quantity", "unit_price"))
-
-
 @query(
     "inner_join_categories",
     sql(f"""SELECT p.category, count(*) AS n_sales, {shown('sum(r.quantity * r.unit_cents)', 'revenue')}
@@ -25,7 +19,7 @@ def _raw_priced(t):
     "JN-1", "QY-7",
 )
 def _(t):
-    per_key = marts.product_totals(_raw_priced(t))
+    per_key = marts.product_totals(t.raw_priced())
     joined = per_key.join(t.products().select("product_id", "category"), "product_id")
     return joined.groupBy("category").agg(F.sum("n_sales").alias("n_sales"), money.total("revenue").alias("revenue"))
 
@@ -40,12 +34,12 @@ def _(t):
 def _(t):
     side = t.products().select("product_id", F.lit(True).alias("known"))
     per_key = t.line_sales().groupBy("channel", "product_id").agg(
-        F.count("*").alias("n"), money.total("revenue").alias("r")
+        F.count("*").alias("n"), F.sum("revenue_cents").alias("r")
     )
     return per_key.join(side, "product_id", "left").groupBy("channel").agg(
         F.sum("n").alias("n_sales"),
         F.coalesce(F.sum(F.when(F.col("known"), F.col("n"))), F.lit(0)).alias("n_registered"),
-        money.total("r").alias("revenue"),
+        money.from_cents(F.sum("r")).alias("revenue"),
     )
 
 
@@ -76,7 +70,7 @@ def _(t):
     "JN-4", "QY-9",
 )
 def _(t):
-    lost = joins.orphans(_raw_priced(t), t.products(), "product_id")
+    lost = joins.orphans(t.raw_priced(), t.products(), "product_id")
     return lost.select("order_id", "line_no", "product_id", "revenue")
 
 
@@ -119,7 +113,7 @@ def _(t):
     sales, people = t.sales(), t.customers()
     seg = t_segments(t, sales, people)
     totals = sales.groupBy("customer_id", "product_id").agg(
-        F.count("*").alias("n"), money.total("revenue").alias("r")
+        F.count("*").alias("n"), money.total_of(sales, "revenue").alias("r")
     )
     joined = totals.join(t.products().select("product_id", "category"), "product_id", "left").join(
         seg.select("customer_id", "region", "segment"), "customer_id", "left"
@@ -196,4 +190,4 @@ def _(t):
     "DQ-23", "QY-9", "SO-3",
 )
 def _(t):
-    return joins.join_loss(_raw_priced(t), t.products(), "product_id", "revenue")
+    return joins.join_loss(t.raw_priced(), t.products(), "product_id", "revenue")

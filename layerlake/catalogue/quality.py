@@ -181,12 +181,11 @@ def _(t):
 )
 def _(t):
     from ..functions import money
-    from .joins import _raw_priced
 
     sales, people = t.sales(), t.customers()
     tables = {
         "sales": sales,
-        "raw": _raw_priced(t),
+        "raw": t.raw_priced(),
         "segments": t_segments(t, sales, people),
         "products": marts.product_performance(sales, t.products(), ranked=False),
     }

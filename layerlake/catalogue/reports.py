@@ -12,7 +12,7 @@ from ..operators.joins import orphans
 from ..operators.pricing import market_profile
 from ..plans import marts
 from .datasets import detailed, scorecard, ticket
-from .joins import _raw_priced, t_segments
+from .joins import t_segments
 from .reference_sql import big, day, half_up, pct, shown, sql, ts
 from .registry import query
 
@@ -51,7 +51,7 @@ def _(t):
     "QY-4",
 )
 def _(t):
-    return agg.sales_totals(_raw_priced(t), ["channel"]).orderBy(F.desc("revenue"))
+    return agg.sales_totals(t.raw_priced(), ["channel"]).orderBy(F.desc("revenue"))
 
 
 @query(
@@ -63,7 +63,7 @@ def _(t):
     "QY-8",
 )
 def _(t):
-    per_id = marts.product_totals(_raw_priced(t))
+    per_id = marts.product_totals(t.raw_priced())
     named = per_id.join(t.products().select("product_id", "product_name", "category"), "product_id")
     totals = named.groupBy("product_name", "category").agg(
         F.sum("items").alias("items"), money.total("revenue").alias("revenue")
@@ -90,7 +90,7 @@ def _(t):
     "QY-28",
 )
 def _(t):
-    per_id = marts.product_totals(_raw_priced(t))
+    per_id = marts.product_totals(t.raw_priced())
     named = per_id.join(t.products().select("product_id", "brand"), "product_id")
     return named.groupBy("brand").agg(money.total("revenue").alias("revenue"))
 
@@ -175,7 +175,7 @@ def _(t):
     "QY-10",
 )
 def _(t):
-    totals = agg.sales_totals(_raw_priced(t).join(t.raw_orders(), "order_id"), ["customer_id"])
+    totals = agg.sales_totals(t.raw_priced().join(t.raw_orders(), "order_id"), ["customer_id"])
     return ranking.top_n(totals, [F.desc("revenue"), "customer_id"], 10).select("customer_id", "revenue")
 
 
@@ -188,7 +188,7 @@ def _(t):
     "QY-10",
 )
 def _(t):
-    per_id = agg.sales_totals(_raw_priced(t).join(t.raw_orders(), "order_id"), ["customer_id"]).drop("avg_ticket")
+    per_id = agg.sales_totals(t.raw_priced().join(t.raw_orders(), "order_id"), ["customer_id"]).drop("avg_ticket")
     named = per_id.join(t.customers().select("customer_id", "customer_name", "state"), "customer_id")
     totals = named.groupBy("customer_name", "state").agg(
         F.sum("n_sales").alias("n_sales"), money.total("revenue").alias("revenue")
@@ -215,7 +215,7 @@ def _(t):
     "QY-11", "QY-29",
 )
 def _(t):
-    per_id = agg.sales_totals(_raw_priced(t).join(t.raw_orders(), "order_id"), ["customer_id"])
+    per_id = agg.sales_totals(t.raw_priced().join(t.raw_orders(), "order_id"), ["customer_id"])
     named = per_id.join(t.customers().select("customer_id", "state"), "customer_id")
     return named.groupBy("state").agg(F.count("*").alias("customers"), money.total("revenue").alias("revenue"))
 
@@ -243,7 +243,7 @@ def _(t):
     from ..functions.columns import banded
     from ..plans.bindings import SEGMENTS
 
-    per_id = agg.sales_totals(_raw_priced(t).join(t.raw_orders(), "order_id"), ["customer_id"])
+    per_id = agg.sales_totals(t.raw_priced().join(t.raw_orders(), "order_id"), ["customer_id"])
     named = per_id.join(t.customers().select("customer_id", "customer_name"), "customer_id")
     totals = named.groupBy("customer_name").agg(money.total("revenue").alias("revenue"))
     return totals.withColumn("segment", banded("revenue", SEGMENTS, fixed.LOWEST_SEGMENT, inclusive=True))
@@ -339,7 +339,7 @@ def _(t):
     means = (
         t.offers()
         .groupBy("competitor")
-        .agg(money.total("competitor_price").alias("s"), F.count("*").alias("n"))
+        .agg(money.from_cents(F.sum("competitor_price_cents")).alias("s"), F.count("*").alias("n"))
         .select("competitor", money.mean("s", "n").alias("mean_price"))
     )
     return ranking.top_n(means, ["mean_price", "competitor"], 1)

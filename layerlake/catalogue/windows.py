@@ -9,7 +9,6 @@ from ..functions import money
 from ..operators import aggregates as agg
 from ..operators import ranking
 from ..plans import marts
-from .joins import _raw_priced
 from .reference_sql import big, day, half_up, pct, shown, sql, ts
 from .registry import query
 
@@ -46,7 +45,7 @@ def _(t):
     "WN-4", "QY-18",
 )
 def _(t):
-    totals = _raw_priced(t).groupBy("channel").agg(money.total("revenue").alias("revenue"))
+    totals = agg.sales_totals(t.raw_priced(), ["channel"]).select("channel", "revenue")
     return agg.share_of_total(totals, "revenue")
 
 
@@ -59,7 +58,7 @@ def _(t):
     "WN-5", "QY-19",
 )
 def _(t):
-    daily = t.event_sales().groupBy("sale_date").agg(money.total("revenue").alias("revenue"))
+    daily = agg.sales_totals(t.event_sales(), ["sale_date"]).select("sale_date", "revenue")
     return agg.day_over_day(daily)
 
 
@@ -104,7 +103,7 @@ def _largest(df, n):
 
 @query("largest_sales", sql(f"SELECT {_SALE} FROM raw_lines {_ORDER} LIMIT 10"), "ST-1", "ST-2", "QY-2")
 def _(t):
-    return _largest(_raw_priced(t), 10)
+    return _largest(t.raw_priced(), 10)
 
 
 @query(
@@ -113,7 +112,7 @@ def _(t):
     "ST-2", "QY-2",
 )
 def _(t):
-    return _largest(_raw_priced(t).where(F.col("channel") == "F"), 10)
+    return _largest(t.raw_priced().where(F.col("channel") == "F"), 10)
 
 
 @query(
@@ -122,7 +121,7 @@ def _(t):
     "ST-2", "QY-2",
 )
 def _(t):
-    return _largest(_raw_priced(t).where((F.col("channel") == "F") & (F.col("quantity") > 1)), 10)
+    return _largest(t.raw_priced().where((F.col("channel") == "F") & (F.col("quantity") > 1)), 10)
 
 
 @query(
@@ -132,7 +131,7 @@ def _(t):
 )
 def _(t):
     order = ["revenue", "order_id", "line_no", "product_id", "unit_price"]
-    return _sale_columns(ranking.top_n(_raw_priced(t), order, 10))
+    return _sale_columns(ranking.top_n(t.raw_priced(), order, 10))
 
 
 @query(
@@ -157,7 +156,7 @@ def _(t):
     "ST-5", "WN-3", "FLT-10", "QY-17",
 )
 def _(t):
-    per_id = marts.product_totals(_raw_priced(t)).join(
+    per_id = marts.product_totals(t.raw_priced()).join(
         t.products().select("product_id", "product_name", "category"), "product_id"
     )
     named = per_id.groupBy("category", "product_name").agg(money.total("revenue").alias("revenue"))

@@ -1,10 +1,16 @@
-"""Exact money arithmetic: DECIMAL(10,2) amounts, whole-cent totals, half-up means."""
+"""Exact money arithmetic: DECIMAL(10,2) amounts, whole-cent totals, half-up means.
+
+An amount column ``x`` may have a twin ``x_cents`` holding the same amount as
+BIGINT cents. Totals and extremes read the twin when it is there: long
+arithmetic stays primitive in generated code, while decimals are objects and
+several times slower per row.
+"""
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AMOUNT = "decimal(10,2)"
@@ -22,6 +28,18 @@ def amount(col: Column | str) -> Column:
     return _c(col).cast(AMOUNT)
 
 
+def price_cents(price: Column | str) -> Column:
+    """A floating price in cents, rounded as the cast to DECIMAL(10,2) rounds.
+
+    Prices within a millionth of a whole cent take the quick way; any other
+    price goes through the decimal cast.
+    """
+    price = _c(price)
+    scaled = price * 100
+    whole = F.rint(scaled)
+    return F.when(F.abs(scaled - whole) < 1e-6, whole.cast("bigint")).otherwise(to_cents(price.cast(AMOUNT)))
+
+
 def line_revenue(quantity: Column | str, unit_price: Column | str) -> Column:
     """Quantity times unit price as DECIMAL(10,2); overflow is an error, not a wrong number."""
     return (_c(quantity) * _c(unit_price)).cast(AMOUNT)
@@ -38,12 +56,35 @@ def to_cents(money: Column | str) -> Column:
 def total(money: Column | str) -> Column:
     """Exact DECIMAL(20,2) sum of a two-decimal column.
 
-    Whole cents are added as BIGINT, which stays a primitive in generated code;
-    a DECIMAL(20,2) buffer would be an object per row and several times slower.
+    Whole cents are added as BIGINT; overflow is an error.
     """
     return from_cents(F.sum(to_cents(money)))
 
 
+def cents_of(df: DataFrame, money: str) -> Column:
+    """The amount in cents: its twin column if ``df`` has one."""
+    return F.col(f"{money}_cents") if f"{money}_cents" in df.columns else to_cents(money)
+
+
+def total_of(df: DataFrame, money: str, where: Column | None = None) -> Column:
+    """Exact DECIMAL(20,2) sum, over the rows where ``where`` holds if given (NULL for none)."""
+    cents = cents_of(df, money)
+    return from_cents(F.sum(cents if where is None else F.when(where, cents)))
+
+
+def lowest_of(df: DataFrame, money: str) -> Column:
+    return from_cents(F.min(cents_of(df, money)), AMOUNT)
+
+
+def highest_of(df: DataFrame, money: str) -> Column:
+    return from_cents(F.max(cents_of(df, money)), AMOUNT)
+
+
+def without_cents(df: DataFrame) -> DataFrame:
+    """``df`` without the cents twins of its amounts."""
+    return df.drop(*[c for c in df.columns if c.endswith("_cents")])
+
+
 def total_where(condition: Column, money: Column | str) -> Column:
     """Sum over the rows where ``condition`` holds; NULL when there are none."""
     return from_cents(F.sum(F.when(condition, to_cents(money))))

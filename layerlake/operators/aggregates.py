@@ -23,7 +23,7 @@ def sales_totals(
     The ticket is the ratio of the summed parts, never a mean of means. Distinct
     customers are exact and must not be added up across rows.
     """
-    measures = [F.count("*").alias("n_sales"), money.total(revenue).alias("revenue")]
+    measures = [F.count("*").alias("n_sales"), money.total_of(sales, revenue).alias("revenue")]
     if quantity:
         measures.append(F.sum(quantity).alias("items"))
     if customer:
@@ -38,7 +38,7 @@ def kpis(
     """One row: sales, revenue, mean ticket, distinct customers, first and last sale."""
     row = sales.agg(
         F.count("*").alias("n_sales"),
-        money.total(revenue).alias("revenue"),
+        money.total_of(sales, revenue).alias("revenue"),
         F.countDistinct(customer).alias("customers"),
         F.min(sold_at).alias("first_sale"),
         F.max(sold_at).alias("last_sale"),
@@ -63,7 +63,7 @@ def mean_per_day(
     Input may hold many rows per day; it is first reduced to one row per key
     and day, so the days are counted without a distinct aggregate.
     """
-    daily = totals.groupBy(*keys, day).agg(money.total(revenue).alias("_daily"))
+    daily = totals.groupBy(*keys, day).agg(money.total_of(totals, revenue).alias("_daily"))
     out = daily.groupBy(*keys).agg(
         money.total("_daily").alias("revenue"), F.count(day).alias("n_days")
     )
@@ -98,7 +98,7 @@ def tagged_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def tagged_totals(layers: dict[str, DataFrame], revenue: str = "revenue") -> DataFrame:
     """One row per layer: its name and revenue total, for reconciliation by eye."""
     parts = [
-        df.agg(money.total(revenue).alias("revenue")).select(F.lit(name).alias("layer"), "revenue")
+        df.agg(money.total_of(df, revenue).alias("revenue")).select(F.lit(name).alias("layer"), "revenue")
         for name, df in layers.items()
     ]
     return _stacked(parts)

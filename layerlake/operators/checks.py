@@ -120,7 +120,8 @@ def _pair(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def totals_pair(left: DataFrame, right: DataFrame, value: str = "revenue") -> DataFrame:
     return _pair(
-        left.agg(money.total(value).alias("value")), right.agg(money.total(value).alias("value"))
+        left.agg(money.total_of(left, value).alias("value")),
+        right.agg(money.total_of(right, value).alias("value")),
     )
 
 

@@ -70,7 +70,7 @@ def join_loss(facts: DataFrame, dimension: DataFrame, on: str, revenue: str) ->
     One pass: the facts are totalled per key first, then the per-key totals are
     matched, so no fact row is shuffled for the comparison.
     """
-    per_key = facts.groupBy(on).agg(money.total(revenue).alias("_total"))
+    per_key = facts.groupBy(on).agg(money.total_of(facts, revenue).alias("_total"))
     known = dimension.select(on, F.lit(True).alias("_known"))
     both = per_key.join(known, on, "left").agg(
         money.total("_total").alias("without_join"),

@@ -17,9 +17,9 @@ def market_profile(
 ) -> DataFrame:
     """Per product: sum, mean, lowest and highest competitor price and how many were seen."""
     measures = [
-        money.total(price).alias("price_total"),
-        F.min(price).alias("lowest_price"),
-        F.max(price).alias("highest_price"),
+        money.total_of(offers, price).alias("price_total"),
+        money.lowest_of(offers, price).alias("lowest_price"),
+        money.highest_of(offers, price).alias("highest_price"),
         F.count("*").alias("n_offers"),
     ]
     if suspicious:

@@ -35,7 +35,7 @@ def score_rows(df: DataFrame, table: str, rules: Sequence[RowRule]) -> DataFrame
     for i, r in enumerate(rules):
         measures.append(F.count_if(r.condition).alias(f"_rows{i}"))
         if r.revenue:
-            measures.append(money.total_where(r.condition, r.revenue).alias(f"_revenue{i}"))
+            measures.append(money.total_of(df, r.revenue, r.condition).alias(f"_revenue{i}"))
         revenue = F.col(f"_revenue{i}") if r.revenue else nothing
         entries.append(_entry(r.rule, table, r.severity, F.col(f"_rows{i}"), revenue))
     return df.agg(*measures).select(F.inline(F.array(*entries)))

@@ -14,7 +14,7 @@ from .joins import zero_filled
 def customer_totals(sales: DataFrame, customer: str = "customer_id", day: str = "sale_date") -> DataFrame:
     totals = sales.groupBy(customer).agg(
         F.count("*").alias("n_sales"),
-        money.total("revenue").alias("revenue"),
+        money.total_of(sales, "revenue").alias("revenue"),
         F.min(day).alias("first_purchase"),
         F.max(day).alias("last_purchase"),
     )

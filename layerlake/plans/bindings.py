@@ -11,8 +11,9 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .cleaning import clean_customers, clean_offers, clean_products, priced_sales
 from ..operators.dedup import first_by_key
+from ..operators.joins import with_registration_flags
+from .cleaning import clean_customers, clean_offers, clean_products, priced, priced_sales
 
 # thresholds that suit these tables
 PRICE_BANDS = [(Decimal("975"), "PREMIUM"), (Decimal("925"), "MEDIO")]
@@ -139,16 +140,13 @@ class Tables:
 
     def line_sales(self) -> DataFrame:
         """Each order line once with its revenue, for questions that need no order."""
-        from ..functions import money
+        return priced(first_by_key(self.raw_lines(), LINE_KEY))
 
-        lines = first_by_key(self.raw_lines(), LINE_KEY)
-        return lines.withColumn("unit_price", money.amount("unit_price")).withColumn(
-            "revenue", money.line_revenue("quantity", "unit_price")
-        )
+    def raw_priced(self) -> DataFrame:
+        """Raw lines, repeats included, with exact revenue."""
+        return priced(self.raw_lines())
 
     def flagged_sales(self) -> DataFrame:
-        from ..operators.joins import with_registration_flags
-
         return with_registration_flags(self.sales(), self.products(), "product_id", "sold_at", "created_at")
 
     def event_sales(self) -> DataFrame:

@@ -37,9 +37,10 @@ def clean_customers(raw: DataFrame, states: DataFrame) -> DataFrame:
 
 def clean_offers(raw: DataFrame, products: DataFrame, *, share: Decimal = fixed.SUSPICIOUS_SHARE) -> DataFrame:
     """Competitor prices by product and competitor, flagged when far below our own price."""
-    tidy = first_by_key(raw, ["product_id", "competitor"]).withColumns(
+    unique = first_by_key(raw, ["product_id", "competitor"])
+    tidy = unique.withColumn("competitor_price_cents", money.price_cents("competitor_price")).withColumns(
         {
-            "competitor_price": money.amount("competitor_price"),
+            "competitor_price": money.from_cents("competitor_price_cents", money.AMOUNT),
             "collected_at": F.to_timestamp("collected_at"),
         }
     )
@@ -48,16 +49,28 @@ def clean_offers(raw: DataFrame, products: DataFrame, *, share: Decimal = fixed.
     return tidy.join(own, "product_id", "left").withColumn("is_suspicious", flag).drop("_own")
 
 
+def priced(lines: DataFrame) -> DataFrame:
+    """Decimal unit price and revenue from a floating price, with the revenue's cents twin."""
+    cents = lines.withColumn("_price", money.price_cents("unit_price"))
+    return (
+        cents.withColumn("revenue_cents", F.col("quantity") * F.col("_price"))
+        .withColumns(
+            {
+                "unit_price": money.from_cents("_price", money.AMOUNT),
+                "revenue": money.from_cents("revenue_cents", money.AMOUNT),
+            }
+        )
+        .drop("_price")
+    )
+
+
 def priced_sales(raw: DataFrame, *, keys: Sequence[str] = (), weekdays=fixed.WEEKDAYS) -> DataFrame:
     """Sales with decimal price, revenue and calendar, before any lookup.
 
     ``keys`` de-duplicates first; leave it empty for rows that are already unique.
     """
     unique = first_by_key(raw, keys) if keys else raw
-    priced = unique.withColumn("unit_price", money.amount("unit_price")).withColumn(
-        "revenue", money.line_revenue("quantity", "unit_price")
-    )
-    return cols.with_calendar(priced, "sold_at", weekdays)
+    return cols.with_calendar(priced(unique), "sold_at", weekdays)
 
 
 def clean_sales(raw: DataFrame, products: DataFrame, *, keys: Sequence[str] = (), weekdays=fixed.WEEKDAYS) -> DataFrame:

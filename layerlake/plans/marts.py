@@ -21,7 +21,7 @@ def sales_over_time(sales: DataFrame) -> DataFrame:
     return sales.groupBy(*keys).agg(
         F.count("*").alias("n_sales"),
         F.sum("quantity").alias("items"),
-        money.total("revenue").alias("revenue"),
+        money.total_of(sales, "revenue").alias("revenue"),
         F.countDistinct("customer_id").alias("customers"),
     )
 
@@ -30,7 +30,7 @@ def product_totals(sales: DataFrame) -> DataFrame:
     return sales.groupBy("product_id").agg(
         F.count("*").alias("n_sales"),
         F.sum("quantity").alias("items"),
-        money.total("revenue").alias("revenue"),
+        money.total_of(sales, "revenue").alias("revenue"),
     )
 
 
@@ -173,7 +173,7 @@ def sales_by_region_and_channel(sales: DataFrame, customers: DataFrame) -> DataF
     distinct aggregate.
     """
     per_customer = sales.groupBy("customer_id", "channel").agg(
-        F.count("*").alias("_n"), money.total("revenue").alias("_revenue")
+        F.count("*").alias("_n"), money.total_of(sales, "revenue").alias("_revenue")
     )
     joined = per_customer.join(customers.select("customer_id", "region"), "customer_id", "left")
     out = joined.groupBy("region", "channel").agg(
@@ -187,5 +187,5 @@ def sales_by_region_and_channel(sales: DataFrame, customers: DataFrame) -> DataF
 def revenue_by_channel(sales: DataFrame, *, revenue_type: str = "decimal(12,2)") -> DataFrame:
     """Sales and revenue per channel; a total that does not fit ``revenue_type`` is an error."""
     return sales.groupBy("channel").agg(
-        F.count("*").alias("n_sales"), money.total("revenue").cast(revenue_type).alias("revenue")
+        F.count("*").alias("n_sales"), money.total_of(sales, "revenue").cast(revenue_type).alias("revenue")
     )
