@@ -96,7 +96,7 @@ def _(t):
     "DS-8",
 )
 def _(t):
-    return marts.competitiveness(t.products(), t.offers(), t.line_sales())
+    return marts.competitiveness(t.products(), t.unflagged_offers(), t.line_sales())
 
 
 @query(

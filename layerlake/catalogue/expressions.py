@@ -201,7 +201,7 @@ def _(t):
 def _(t):
     from ..operators.pricing import market_profile
 
-    joined = t.products().join(market_profile(t.offers()), "product_id")
+    joined = t.products().join(market_profile(t.unflagged_offers()), "product_id")
     position = cols.price_position("list_price", "lowest_price", "mean_price", "highest_price")
     return agg.value_counts(joined.withColumn("price_position", position), "price_position")
 
@@ -229,7 +229,7 @@ def _(t):
 def _(t):
     from ..operators.pricing import market_profile
 
-    return market_profile(t.offers()).select(
+    return market_profile(t.unflagged_offers()).select(
         "product_id",
         "mean_price",
         money.percent_above("mean_price", "lowest_price").alias("mean_vs_lowest_pct"),
@@ -246,10 +246,12 @@ def _(t):
 )
 def _(t):
     own = t.products().select("product_id", "list_price")
-    priced = t.raw_offers().withColumn("competitor_price", money.amount("competitor_price"))
+    cents = money.price_cents("competitor_price").alias("cents")
+    prices = t.raw_offers().groupBy("product_id", cents).agg(F.count("*").alias("n"))
+    priced = prices.withColumn("competitor_price", money.from_cents("cents", money.AMOUNT))
     low = money.is_below_share("competitor_price", "list_price", Decimal("0.6"))
     return priced.join(own, "product_id").groupBy("product_id").agg(
-        F.count("*").alias("n_offers"), F.count_if(low).alias("n_suspicious")
+        F.sum("n").alias("n_offers"), F.sum(F.when(low, F.col("n")).otherwise(0)).alias("n_suspicious")
     )
 
 

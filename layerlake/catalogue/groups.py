@@ -169,7 +169,7 @@ def _(t):
     "AG-14", "QY-14",
 )
 def _(t):
-    return mean_difference_by(t.products(), t.offers(), "category")
+    return mean_difference_by(t.products(), t.unflagged_offers(), "category")
 
 
 @query(
@@ -181,7 +181,7 @@ def _(t):
     "AG-10", "QY-13",
 )
 def _(t):
-    out = difference_to_unrounded_mean(t.products().select("product_id", "list_price"), t.offers())
+    out = difference_to_unrounded_mean(t.products().select("product_id", "list_price"), t.unflagged_offers())
     return out.drop("n_offers")
 
 

@@ -144,7 +144,7 @@ def t_segments(t, sales=None, customers=None, ranked=False):
     "JN-8",
 )
 def _(t):
-    return marts.competitiveness(t.products(), t.offers(), t.line_sales()).select(
+    return marts.competitiveness(t.products(), t.unflagged_offers(), t.line_sales()).select(
         "product_id", "n_offers", "mean_price", "items", "revenue"
     )
 
@@ -160,7 +160,7 @@ def _(t):
 def _(t):
     sales, products = t.line_sales(), t.products()
     best = marts.product_performance(sales, products).where("revenue_rank <= 100")
-    market = marts.competitiveness(products, t.offers(), sales)
+    market = marts.competitiveness(products, t.unflagged_offers(), sales)
     return best.select("product_id", "revenue_rank").join(market, "product_id").select(
         "revenue_rank", "product_id", "list_price", "mean_price", "diff_pct_vs_mean"
     )
@@ -174,7 +174,7 @@ def _(t):
     "JN-10",
 )
 def _(t):
-    offers = t.offers().groupBy("product_id").agg(
+    offers = t.unflagged_offers().groupBy("product_id").agg(
         F.count("*").alias("n_offers"), F.min("competitor_price").alias("lowest_price")
     )
     named = t.products().select("product_id", "product_name", "list_price")

@@ -11,6 +11,7 @@ from ..operators import checks, profile, scorecard
 from ..operators.dedup import duplicated_keys
 from ..plans import marts
 from ..plans.bindings import CHANNELS, MIN_COMPETITORS
+from ..session import materialize
 from ..sinks.datasets import DROP, FAIL, WARN, Expectation, expectation_counts, split_on
 from .joins import t_segments
 from .reference_sql import big, shown, sql, ts
@@ -65,7 +66,7 @@ def _(t):
     "DQ-10", "FLT-8",
 )
 def _(t):
-    return scorecard.under_covered(t.offers(), "product_id", MIN_COMPETITORS)
+    return scorecard.under_covered(t.unflagged_offers(), "product_id", MIN_COMPETITORS)
 
 
 @query(
@@ -182,7 +183,7 @@ def _(t):
 def _(t):
     from ..functions import money
 
-    sales, people = t.sales(), t.customers()
+    sales, people = materialize(t.sales()), t.customers()  # read by most of the checks
     tables = {
         "sales": sales,
         "raw": t.raw_priced(),

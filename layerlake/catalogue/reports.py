@@ -8,7 +8,7 @@ from ..functions import fixed_values as fixed
 from ..functions import money
 from ..operators import aggregates as agg
 from ..operators import ranking
-from ..operators.joins import orphans
+from ..operators.joins import without_facts
 from ..operators.pricing import market_profile
 from ..plans import marts
 from .datasets import detailed, scorecard, ticket
@@ -115,7 +115,7 @@ def _(t):
 )
 def _(t):
     recent = t.sales().where(F.col("sale_date") >= F.lit("2001-07-01").cast("date"))
-    unsold = orphans(t.products(), recent, "product_id")
+    unsold = without_facts(t.products(), recent, "product_id")
     return unsold.select("product_id", "product_name")
 
 
@@ -168,6 +168,14 @@ def _(t):
 # -- customers --------------------------------------------------------------
 
 
+def _raw_customer_totals(t):
+    """Sales and revenue per customer from the raw lines."""
+    orders = t.raw_order_totals()
+    return orders.groupBy("customer_id").agg(
+        F.sum("n_sales").alias("n_sales"), money.total_of(orders, "revenue").alias("revenue")
+    )
+
+
 @query(
     "top_customer_ids",
     sql(f"""SELECT customer_id, {shown('sum(cents)', 'revenue')} FROM raw_sales
@@ -175,8 +183,7 @@ def _(t):
     "QY-10",
 )
 def _(t):
-    totals = agg.sales_totals(t.raw_priced().join(t.raw_orders(), "order_id"), ["customer_id"])
-    return ranking.top_n(totals, [F.desc("revenue"), "customer_id"], 10).select("customer_id", "revenue")
+    return ranking.top_n(_raw_customer_totals(t), [F.desc("revenue"), "customer_id"], 10).drop("n_sales")
 
 
 @query(
@@ -188,7 +195,7 @@ def _(t):
     "QY-10",
 )
 def _(t):
-    per_id = agg.sales_totals(t.raw_priced().join(t.raw_orders(), "order_id"), ["customer_id"]).drop("avg_ticket")
+    per_id = _raw_customer_totals(t)
     named = per_id.join(t.customers().select("customer_id", "customer_name", "state"), "customer_id")
     totals = named.groupBy("customer_name", "state").agg(
         F.sum("n_sales").alias("n_sales"), money.total("revenue").alias("revenue")
@@ -215,7 +222,7 @@ def _(t):
     "QY-11", "QY-29",
 )
 def _(t):
-    per_id = agg.sales_totals(t.raw_priced().join(t.raw_orders(), "order_id"), ["customer_id"])
+    per_id = _raw_customer_totals(t)
     named = per_id.join(t.customers().select("customer_id", "state"), "customer_id")
     return named.groupBy("state").agg(F.count("*").alias("customers"), money.total("revenue").alias("revenue"))
 
@@ -243,7 +250,7 @@ def _(t):
     from ..functions.columns import banded
     from ..plans.bindings import SEGMENTS
 
-    per_id = agg.sales_totals(t.raw_priced().join(t.raw_orders(), "order_id"), ["customer_id"])
+    per_id = _raw_customer_totals(t)
     named = per_id.join(t.customers().select("customer_id", "customer_name"), "customer_id")
     totals = named.groupBy("customer_name").agg(money.total("revenue").alias("revenue"))
     return totals.withColumn("segment", banded("revenue", SEGMENTS, fixed.LOWEST_SEGMENT, inclusive=True))
@@ -297,7 +304,7 @@ def _(t):
     "QY-15", "FLT-8", "QY-29",
 )
 def _(t):
-    market = market_profile(t.offers(), suspicious=None).select("product_id", "highest_price", "n_offers")
+    market = market_profile(t.unflagged_offers()).select("product_id", "highest_price", "n_offers")
     ours = t.products().select("product_id", "product_name", "category", "list_price")
     return ours.join(market, "product_id").where(F.col("list_price") > F.col("highest_price"))
 
@@ -308,7 +315,7 @@ def _(t):
     "QY-15", "QY-25",
 )
 def _(t):
-    out = marts.competitiveness(t.products(), t.offers(), t.line_sales())
+    out = marts.competitiveness(t.products(), t.unflagged_offers(), t.line_sales())
     return out.groupBy("category", "price_position").agg(F.count("*").alias("n_products"))
 
 
@@ -323,7 +330,7 @@ def _(t):
 def _(t):
     sales, products = t.line_sales(), t.products()
     best = marts.product_performance(sales, products).where("revenue_rank <= 50")
-    market = marts.competitiveness(products, t.offers(), sales).where(F.col("diff_pct_vs_mean") > -60)
+    market = marts.competitiveness(products, t.unflagged_offers(), sales).where(F.col("diff_pct_vs_mean") > -60)
     joined = best.select("product_id", "revenue_rank").join(market, "product_id")
     return joined.select("revenue_rank", "product_name", "list_price", "mean_price", "diff_pct_vs_mean")
 
@@ -337,7 +344,7 @@ def _(t):
 )
 def _(t):
     means = (
-        t.offers()
+        t.unflagged_offers()
         .groupBy("competitor")
         .agg(money.from_cents(F.sum("competitor_price_cents")).alias("s"), F.count("*").alias("n"))
         .select("competitor", money.mean("s", "n").alias("mean_price"))

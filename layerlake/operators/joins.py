@@ -22,6 +22,11 @@ def orphans(facts: DataFrame, dimension: DataFrame, on: Sequence[str] | str) ->
     return facts.join(dimension.select(*on), on, "left_anti")
 
 
+def without_facts(dimension: DataFrame, facts: DataFrame, on: str) -> DataFrame:
+    """Dimension rows that no fact refers to. Fact keys are made distinct before they are shuffled."""
+    return dimension.join(facts.select(on).distinct(), on, "left_anti")
+
+
 def with_registration_flags(
     facts: DataFrame,
     dimension: DataFrame,

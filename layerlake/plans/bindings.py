@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 
 from ..operators.dedup import first_by_key
 from ..operators.joins import with_registration_flags
-from .cleaning import clean_customers, clean_offers, clean_products, priced, priced_sales
+from .cleaning import (
+    clean_customers,
+    clean_offers,
+    clean_products,
+    priced,
+    priced_sales,
+    unflagged_offers,
+)
 
 # thresholds that suit these tables
 PRICE_BANDS = [(Decimal("975"), "PREMIUM"), (Decimal("925"), "MEDIO")]
@@ -129,6 +136,9 @@ class Tables:
     def offers(self) -> DataFrame:
         return clean_offers(self.raw_offers(), self.products())
 
+    def unflagged_offers(self) -> DataFrame:
+        return unflagged_offers(self.raw_offers())
+
     def sales(self) -> DataFrame:
         """Each order line once, with price, revenue and calendar, without catalog flags.
 
@@ -146,6 +156,18 @@ class Tables:
         """Raw lines, repeats included, with exact revenue."""
         return priced(self.raw_lines())
 
+    def raw_order_totals(self) -> DataFrame:
+        """One row per order with its customer, number of raw lines and revenue.
+
+        Lines are totalled per order first, so an order of any length is one
+        row when the orders are joined.
+        """
+        lines = self.raw_priced()
+        per_order = lines.groupBy("order_id").agg(
+            F.count("*").alias("n_sales"), F.sum("revenue_cents").alias("revenue_cents")
+        )
+        return per_order.join(self.raw_orders(), "order_id")
+
     def flagged_sales(self) -> DataFrame:
         return with_registration_flags(self.sales(), self.products(), "product_id", "sold_at", "created_at")
 

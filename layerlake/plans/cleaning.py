@@ -35,18 +35,22 @@ def clean_customers(raw: DataFrame, states: DataFrame) -> DataFrame:
     return tidy.join(states.select("state", "state_name", "region"), "state", "left")
 
 
-def clean_offers(raw: DataFrame, products: DataFrame, *, share: Decimal = fixed.SUSPICIOUS_SHARE) -> DataFrame:
-    """Competitor prices by product and competitor, flagged when far below our own price."""
+def unflagged_offers(raw: DataFrame) -> DataFrame:
+    """Competitor prices by product and competitor, with decimal price and real timestamp."""
     unique = first_by_key(raw, ["product_id", "competitor"])
-    tidy = unique.withColumn("competitor_price_cents", money.price_cents("competitor_price")).withColumns(
+    return unique.withColumn("competitor_price_cents", money.price_cents("competitor_price")).withColumns(
         {
             "competitor_price": money.from_cents("competitor_price_cents", money.AMOUNT),
             "collected_at": F.to_timestamp("collected_at"),
         }
     )
+
+
+def clean_offers(raw: DataFrame, products: DataFrame, *, share: Decimal = fixed.SUSPICIOUS_SHARE) -> DataFrame:
+    """Competitor prices, flagged when far below our own price; unknown products are kept unflagged."""
     own = products.select("product_id", F.col("list_price").alias("_own"))
     flag = money.is_below_share("competitor_price", "_own", share)
-    return tidy.join(own, "product_id", "left").withColumn("is_suspicious", flag).drop("_own")
+    return unflagged_offers(raw).join(own, "product_id", "left").withColumn("is_suspicious", flag).drop("_own")
 
 
 def priced(lines: DataFrame) -> DataFrame:

@@ -151,7 +151,7 @@ def quality_scorecard(
         fixed.INFORMATIVE,
     )
     coverage = scorecard.score_count(
-        scorecard.under_covered(offers, "product_id", min_competitors).agg(F.count("*").alias("n")),
+        scorecard.under_covered(offers.select("product_id"), "product_id", min_competitors).agg(F.count("*").alias("n")),
         "n",
         "product watched at too few competitors",
         "competitor_prices",

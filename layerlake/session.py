@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,10 +48,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and continue from that copy.
+    """Write ``df`` once, as Parquet in the shared checkpoint folder, and continue from that copy.
 
-    Used where two branches must see the very same partitions: the stored copy
-    survives the loss of executors, a cached one would not.
+    Used where several branches must see the very same rows in the very same
+    partitions, or would repeat costly work. The stored copy survives the loss
+    of executors; a cached one would not. The folder belongs to the application
+    and can be removed when it ends.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

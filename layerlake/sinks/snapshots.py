@@ -55,10 +55,13 @@ class SnapshotTable:
         """Make the folders the newest version."""
         last = self.current_version()
         version = 0 if last is None else last + 1
-        row = [(version, operation, folders, schema.json())]
-        entry = self.spark.createDataFrame(
-            row, "version bigint, operation string, folders array<string>, schema string"
-        ).withColumn("committed_at", F.current_timestamp())
+        entry = self.spark.range(1).select(
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit(operation).alias("operation"),
+            F.array(*[F.lit(f) for f in folders]).alias("folders"),
+            F.lit(schema.json()).alias("schema"),
+            F.current_timestamp().alias("committed_at"),
+        )
         entry.coalesce(1).write.mode("append").json(f"{self.path}/log")
         return version
 

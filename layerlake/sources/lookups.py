@@ -10,7 +10,11 @@ from ..functions import fixed_values as fixed
 
 def states(spark: SparkSession, rows=fixed.STATES) -> DataFrame:
     """State code, state name and region; a fixed 27 rows."""
-    return spark.createDataFrame(rows, "state string, state_name string, region string")
+    entries = [
+        F.struct(F.lit(code).alias("state"), F.lit(name).alias("state_name"), F.lit(region).alias("region"))
+        for code, name, region in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*entries)))
 
 
 def with_region(customers: DataFrame, states_df: DataFrame, state: str = "state") -> DataFrame:
