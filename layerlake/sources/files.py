@@ -49,11 +49,11 @@ def read_csv_with_quarantine(
     parsed = spark.read.csv(
         path, schema=wide, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT
     )
-    bad = F.col(CORRUPT).isNotNull()
-    # the parser fills the reject column only when it parses at least one typed column too
-    first = F.col(f"`{schema.fields[0].name}`")
-    rejected = parsed.where(bad).select(first.alias("_first"), CORRUPT).select(CORRUPT)
-    return parsed.where(~bad).drop(CORRUPT), rejected
+    # Spark refuses to read the reject column alone, even for a count, so the
+    # filter also looks at the typed columns; the length is never negative.
+    typed = F.concat_ws("", *[F.col(f"`{f.name}`").cast("string") for f in schema.fields])
+    bad = F.col(CORRUPT).isNotNull() & (F.length(typed) >= 0)
+    return parsed.where(~bad).drop(CORRUPT), parsed.where(bad).select(CORRUPT)
 
 
 def read_nested_json(
