@@ -45,6 +45,11 @@ def overwrite_table_counted(df: DataFrame, name: str) -> int:
     return seen.get["n"]
 
 
+def table_from_query(spark: SparkSession, name: str, query: str, **values) -> None:
+    """Create or replace the table from a query with named parameters."""
+    overwrite_table(spark.sql(query, values), name)
+
+
 def comment_table(spark: SparkSession, name: str, comment: str) -> None:
     spark.sql(f"COMMENT ON TABLE {_quoted(name)} IS {_text(comment)}")
 

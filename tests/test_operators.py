@@ -93,6 +93,12 @@ def test_top_k_limits_before_the_shuffle(spark):
     assert top.groupBy("grp").count().where("count > 2").count() == 0
 
 
+def test_plain_limit_and_bottom_n(spark):
+    df = _scores(spark)
+    assert df.limit(7).count() == 7
+    assert [r["id"] for r in ranking.top_n(df, ["id"], 3).collect()] == [0, 1, 2]
+
+
 def test_exact_quantiles(uncoalesced):
     df = uncoalesced.range(1, 101).select("id", (F.col("id") * 10).alias("v"))
     rows = ranking.exact_quantiles(df, "v", "id", ["0.3", "0.8", "0.805"]).collect()
