@@ -51,7 +51,7 @@ TITLE = "^(" + "|".join(fixed.TITLES) + r")\.\s+"
 
 PARTS = {
     "raw_lines": """
-        SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_partkey AS product_id,
+        SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_no, l_partkey AS product_id,
                l_suppkey AS supplier_id, l_linestatus AS channel, CAST(l_quantity AS BIGINT) AS quantity,
                CAST(floor(round(l_extendedprice * 100) / l_quantity) AS BIGINT) AS unit_cents
         FROM lineitem""",

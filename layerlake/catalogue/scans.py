@@ -40,7 +40,7 @@ def _(t):
 
 @query(
     "catalog_scan",
-    "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    f"SELECT {big('n_nationkey', 'n_nationkey')}, n_name, {big('n_regionkey', 'n_regionkey')} FROM nation",
     "SRC-6",
 )
 def _(t):
@@ -148,7 +148,7 @@ def _(t):
 
 @query(
     "snapshot_versions",
-    """SELECT 0 AS version, o_orderstatus AS status, count(*) AS n_rows FROM orders GROUP BY 2
+    """SELECT CAST(0 AS BIGINT) AS version, o_orderstatus AS status, count(*) AS n_rows FROM orders GROUP BY 2
        UNION ALL
        SELECT 1, CASE WHEN o_orderstatus = 'O' THEN 'OPEN' ELSE o_orderstatus END, count(*)
        FROM orders GROUP BY 2
@@ -172,7 +172,7 @@ def _(t):
 
 @query(
     "renamed_projection",
-    "SELECT n_nationkey AS nation_id, n_name AS state, n_regionkey FROM nation",
+    f"SELECT {big('n_nationkey', 'nation_id')}, n_name AS state, {big('n_regionkey', 'n_regionkey')} FROM nation",
     "PRJ-6",
 )
 def _(t):

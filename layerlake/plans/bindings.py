@@ -78,7 +78,7 @@ class Tables:
             F.col("p_type").alias("category"),
             F.col("p_brand").alias("brand"),
             F.col("p_retailprice").alias("list_price"),
-            created.cast("timestamp").alias("created_at"),
+            created.cast("timestamp_ntz").alias("created_at"),
         )
 
     def raw_customers(self) -> DataFrame:

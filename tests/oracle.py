@@ -37,9 +37,10 @@ def rows(names, records):
 
 
 def differences(query, spark, folder, con):
-    """(column names, rows) of both sides; equal when the query is right."""
+    """(column names, rows) of both sides, equal when the query is right, and the Spark plan."""
     df = query(spark, folder)
+    plan = df._jdf.queryExecution().executedPlan().toString()
     got = sorted(df.columns), rows(df.columns, df.collect())
     result = con.sql(query.oracle)
     want = sorted(result.columns), rows(result.columns, result.fetchall())
-    return got, want
+    return got, want, plan
