@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..functions import money
 from ..plans import marts
 from ..plans.bindings import MIN_COMPETITORS, SEGMENTS
+from ..session import materialize
 from .reference_sql import big, day, half_up, shown, sql, ts
 from .registry import query
 
@@ -83,7 +84,7 @@ def _(t):
     "DS-7",
 )
 def _(t):
-    return marts.customer_segmentation(t.customers(), t.sales(), segments=SEGMENTS)
+    return marts.customer_segmentation(t.customers(), t.order_sales(), segments=SEGMENTS)
 
 
 @query(
@@ -112,7 +113,7 @@ def _(t):
 
 
 def detailed(t):
-    sales = t.sales()
+    sales = materialize(t.sales())  # read for the rows themselves and for the segments
     segments = marts.customer_segmentation(t.customers(), sales, segments=SEGMENTS, ranked=False)
     return marts.detailed_sales(sales, t.products(), segments)
 

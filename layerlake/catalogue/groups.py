@@ -262,7 +262,7 @@ def _(t):
     "AG-18",
 )
 def _(t):
-    totals = customer_totals(t.sales())
+    totals = customer_totals(t.order_sales())
     return ranking.exact_quantiles(totals, "revenue", "customer_id", ["0.3", "0.5", "0.8"])
 
 

@@ -121,7 +121,7 @@ def _(t):
     "DQ-19", "JN-6",
 )
 def _(t):
-    sales, people = t.sales(), t.customers()
+    sales, people = materialize(t.sales()), t.customers()  # read three times
     detailed = marts.detailed_sales(sales, t.products(), t_segments(t, sales, people))
     pair = checks.counts_pair(sales, detailed)
     return pair.select(

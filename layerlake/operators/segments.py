@@ -12,8 +12,14 @@ from .joins import zero_filled
 
 
 def customer_totals(sales: DataFrame, customer: str = "customer_id", day: str = "sale_date") -> DataFrame:
+    """Purchases, revenue, mean ticket and first and last day per customer.
+
+    ``sales`` has one row per sale, or partial totals (say, per order) that
+    carry the number of sales in ``n_sales``.
+    """
+    n = F.sum("n_sales") if "n_sales" in sales.columns else F.count("*")
     totals = sales.groupBy(customer).agg(
-        F.count("*").alias("n_sales"),
+        n.alias("n_sales"),
         money.total_of(sales, "revenue").alias("revenue"),
         F.min(day).alias("first_purchase"),
         F.max(day).alias("last_purchase"),

@@ -152,21 +152,27 @@ class Tables:
         """Each order line once with its revenue, for questions that need no order."""
         return priced(first_by_key(self.raw_lines(), LINE_KEY))
 
+    def order_sales(self) -> DataFrame:
+        """De-duplicated sales totalled per order, with customer and day.
+
+        For questions about customers: each order is one narrow row before the
+        orders are joined, whatever its number of lines.
+        """
+        return self._per_order(self.line_sales()).withColumn("sale_date", F.to_date("sold_at"))
+
     def raw_priced(self) -> DataFrame:
         """Raw lines, repeats included, with exact revenue."""
         return priced(self.raw_lines())
 
     def raw_order_totals(self) -> DataFrame:
-        """One row per order with its customer, number of raw lines and revenue.
+        """Raw lines totalled per order, with customer and time."""
+        return self._per_order(self.raw_priced())
 
-        Lines are totalled per order first, so an order of any length is one
-        row when the orders are joined.
-        """
-        lines = self.raw_priced()
-        per_order = lines.groupBy("order_id").agg(
+    def _per_order(self, lines: DataFrame) -> DataFrame:
+        totals = lines.groupBy("order_id").agg(
             F.count("*").alias("n_sales"), F.sum("revenue_cents").alias("revenue_cents")
         )
-        return per_order.join(self.raw_orders(), "order_id")
+        return totals.join(self.raw_orders(), "order_id")
 
     def flagged_sales(self) -> DataFrame:
         return with_registration_flags(self.sales(), self.products(), "product_id", "sold_at", "created_at")
