@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from ..functions import money
+from ..operators.joins import with_registration_flags
 from ..plans import marts
 from ..plans.bindings import MIN_COMPETITORS, SEGMENTS
+from ..plans.cleaning import clean_offers
 from ..session import materialize
 from .reference_sql import big, day, half_up, shown, sql, ts
 from .registry import query
@@ -119,9 +121,10 @@ def detailed(t):
 
 
 def scorecard(t):
-    return marts.quality_scorecard(
-        t.flagged_sales(), t.products(), t.customers(), t.offers(), min_competitors=MIN_COMPETITORS
-    )
+    products = materialize(t.products())  # read by the flags and by the product rules
+    offers = materialize(clean_offers(t.raw_offers(), products))  # read by two rules
+    sales = with_registration_flags(t.sales(), products, "product_id", "sold_at", "created_at")
+    return marts.quality_scorecard(sales, products, t.customers(), offers, min_competitors=MIN_COMPETITORS)
 
 
 @query(

@@ -360,9 +360,12 @@ def _(t):
     "QY-29",
 )
 def _(t):
-    profile = market_profile(t.offers())
-    return profile.agg(
-        F.count("*").alias("n_products"), F.count_if("has_suspicious_price").alias("n_with_suspicious_price")
+    """Some price of a product is suspicious exactly when its lowest one is."""
+    profile = market_profile(t.unflagged_offers())
+    own = t.products().select("product_id", "list_price")
+    low = money.is_below_share("lowest_price", "list_price", fixed.SUSPICIOUS_SHARE)
+    return profile.join(own, "product_id", "left").agg(
+        F.count("*").alias("n_products"), F.count_if(low).alias("n_with_suspicious_price")
     )
 
 
