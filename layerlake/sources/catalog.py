@@ -25,7 +25,9 @@ def query_table(spark: SparkSession, table: str, query: str, **values) -> DataFr
 
 
 def list_tables(spark: SparkSession, namespace: str) -> DataFrame:
-    rows = [(t.name, t.tableType, t.description) for t in spark.catalog.listTables(namespace)]
+    """The tables of the namespace; the session's temporary views are not part of it."""
+    found = [t for t in spark.catalog.listTables(namespace) if not t.isTemporary]
+    rows = [(t.name, t.tableType, t.description) for t in found]
     return spark.createDataFrame(rows, "table_name string, table_type string, comment string")
 
 
