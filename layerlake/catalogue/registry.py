@@ -11,8 +11,6 @@ from pyspark.sql import types as T
 
 from ..plans.bindings import Tables
 
-DATE, TIMESTAMP = "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss.SSSSSS"
-
 
 @dataclass(frozen=True)
 class Query:
@@ -41,7 +39,10 @@ def query(name: str, oracle: str | None, *covers: str):
 
 
 def plain(df: DataFrame) -> DataFrame:
-    """Types every SQL client reads alike: decimals as double, dates as text, integers as bigint."""
+    """Types every SQL client reads alike: decimals as double, integers as bigint, dates and times as text.
+
+    Times carry six decimals; those without a zone do not depend on the session's zone.
+    """
     out = []
     for field in df.schema.fields:
         c, kind = F.col(f"`{field.name}`"), field.dataType
@@ -50,8 +51,9 @@ def plain(df: DataFrame) -> DataFrame:
         elif isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("bigint")
         elif isinstance(kind, T.DateType):
-            c = F.date_format(c, DATE)
+            c = c.cast("string")
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, TIMESTAMP)
+            text = c.cast("string")  # a fraction is shown only if there is one
+            c = F.rpad(F.when(text.contains("."), text).otherwise(F.concat(text, F.lit("."))), 26, "0")
         out.append(c.alias(field.name))
     return df.select(*out)

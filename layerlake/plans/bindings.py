@@ -110,7 +110,7 @@ class Tables:
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("competitor"),
             (cents / 100).alias("competitor_price"),
-            F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("collected_at"),
+            F.col("l_shipdate").cast("string").alias("collected_at"),
         )
 
     def raw_event_sales(self) -> DataFrame:
