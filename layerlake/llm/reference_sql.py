@@ -98,7 +98,7 @@ models(model, license, text) AS (VALUES {_MODELS}),
 mw AS (SELECT model, license, term, count(*) AS tf
        FROM (SELECT model, license, unnest({_TERMS.format('lower(text)')}) AS term FROM models) GROUP BY ALL),
 mv AS (SELECT model, license, term, tf * coalesce(idf, ln(1.0 + n.n) + 1) AS w FROM mw LEFT JOIN df USING (term), n),
-mn AS (SELECT *, w / sqrt(sum(w * w) OVER (PARTITION BY model)) AS m FROM mv),
+mn AS (SELECT model, license, term, w / sqrt(sum(w * w) OVER (PARTITION BY model)) AS m FROM mv),
 v AS (SELECT notice, term, tf * idf AS w FROM words JOIN df USING (term)),
 len AS (SELECT notice, sqrt(sum(w * w)) AS size FROM v GROUP BY notice),
 cos AS (SELECT notice, license, model, round(sum(w * m) / any_value(size), 6) AS cosine
