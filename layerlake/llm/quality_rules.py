@@ -62,17 +62,19 @@ def measures(df: DataFrame, text: str, out: str) -> DataFrame:
     sizes; for the others the hashes are sorted with their places, so that the
     work stays n log n in the length of a text.
     """
-    c = {n: free_name(df, f"_{n}") for n in ("t", "w", "l", "h", "s", "p")}
+    c = {n: free_name(df, f"_{n}") for n in ("t", "b", "w", "l", "h1", "h2", "h4", "h", "s", "p")}
     t, w = F.col(c["t"]), F.col(c["w"])
     df = df.withColumn(c["t"], F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))
-    bare = F.btrim(t, F.lit(SPACE))
+    # what is used more than once is a column of its own, so that it is computed once
+    df = df.withColumn(c["b"], F.btrim(t, F.lit(SPACE)))
+    bare = F.col(c["b"])
     df = df.withColumn(c["w"], F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACES + "+")))
     lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "")
     df = df.withColumn(c["l"], lines)
-    two = _joined(F.transform(w, lambda x: F.xxhash64(x)), 1)
-    h = _joined(_joined(two, 2), 4)
-    df = df.withColumn(c["h"], F.when(F.size(w) < WINDOW, F.array().cast("array<bigint>"))
-                       .otherwise(F.slice(h, 1, F.greatest(F.size(w) - (WINDOW - 1), F.lit(1)))))
+    df = df.withColumn(c["h1"], F.transform(w, lambda x: F.xxhash64(x)))
+    df = df.withColumn(c["h2"], _joined(F.col(c["h1"]), 1)).withColumn(c["h4"], _joined(F.col(c["h2"]), 2))
+    whole = F.slice(_joined(F.col(c["h4"]), 4), F.lit(1), F.greatest(F.size(w) - (WINDOW - 1), F.lit(1)))
+    df = df.withColumn(c["h"], F.when(F.size(w) < WINDOW, F.array().cast("array<bigint>")).otherwise(whole))
     h = F.col(c["h"])
     repeats = F.size(F.array_distinct(h)) < F.size(h)
     placed = F.array_sort(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -130,6 +132,11 @@ def judged(df: DataFrame, text: str = "text", rules: list[Rule] | None = None, o
 
 
 def kept_documents(df: DataFrame, text: str = "text", rules: list[Rule] | None = None) -> DataFrame:
-    """The rows that break no rule, with the columns they came with."""
-    v = free_name(df, "_v")
-    return judged(df, text, rules, v).where(F.col(f"`{v}`.kept")).drop(v)
+    """The rows that break no rule, with the columns they came with.
+
+    The row number keeps the optimizer from moving the filter below the
+    projection, where it would compute every measure again for every rule.
+    """
+    v, row = free_name(df, "_v"), free_name(df, "_row")
+    rows = judged(df, text, rules, v).withColumn(row, F.monotonically_increasing_id())
+    return rows.where(F.col(f"`{v}`.kept") & (F.col(f"`{row}`") >= 0)).drop(v, row)
