@@ -10,6 +10,7 @@ from ..operators import ranking
 from ..operators.dedup import first_by_key
 from ..operators.pricing import difference_to_unrounded_mean, mean_difference_by
 from ..operators.segments import customer_totals
+from ..plans.bindings import LINE_KEY
 from .joins import t_segments
 from .reference_sql import big, day, half_up, pct, shown, sql, ts
 from .registry import query
@@ -25,7 +26,15 @@ TICKET = f"CAST({half_up('sum(cents)', 'count(*)')} AS DOUBLE) / 100 AS avg_tick
     "AG-1", "QY-3",
 )
 def _(t):
-    return agg.kpis(t.raw_priced().join(t.raw_orders(), "order_id"))
+    # one narrow row per order before customers and times are joined
+    row = t.raw_order_totals().agg(
+        F.sum("n_sales").alias("n_sales"),
+        money.from_cents(F.sum("revenue_cents")).alias("revenue"),
+        F.countDistinct("customer_id").alias("customers"),
+        F.min("sold_at").alias("first_sale"),
+        F.max("sold_at").alias("last_sale"),
+    )
+    return row.withColumn("avg_ticket", money.mean("revenue", "n_sales"))
 
 
 @query(
@@ -74,11 +83,12 @@ def _(t):
     "AG-5",
 )
 def _(t):
-    return (
-        t.raw_sales()
-        .groupBy("channel")
-        .agg(F.countDistinct("customer_id").alias("customers"), F.countDistinct("product_id").alias("products"))
-    )
+    lines = t.raw_lines()
+    buyers = lines.select("channel", "order_id").distinct().join(t.raw_orders(), "order_id")
+    buyers = buyers.groupBy("channel").agg(F.countDistinct("customer_id").alias("customers"))
+    known = lines.join(t.raw_orders().select("order_id"), "order_id", "left_semi")
+    products = known.groupBy("channel").agg(F.countDistinct("product_id").alias("products"))
+    return buyers.join(products, "channel")
 
 
 @query(
@@ -192,17 +202,16 @@ def _(t):
     "AG-15",
 )
 def _(t):
-    return first_by_key(t.raw_lines(), ["order_id", "line_no"])
+    return first_by_key(t.raw_lines(), LINE_KEY)
 
 
 @query(
     "deduplicated_offers",
-    f"""SELECT product_id, competitor, CAST(c AS DOUBLE) / 100 AS competitor_price,
-               strftime(d, '%Y-%m-%d %H:%M:%S') AS collected_at
-        FROM (SELECT l_partkey AS product_id, l_suppkey AS competitor, c, d,
-                     row_number() OVER (PARTITION BY l_partkey, l_suppkey ORDER BY c, d) AS rn
-              FROM (SELECT *, floor(round(l_extendedprice * 100) / l_quantity) AS c, l_shipdate AS d FROM lineitem))
-        WHERE rn = 1""",
+    sql(f"""SELECT product_id, competitor, {shown('offer_cents', 'competitor_price')},
+                   strftime(collected_at, '%Y-%m-%d %H:%M:%S') AS collected_at
+            FROM (SELECT *, row_number() OVER (PARTITION BY product_id, competitor
+                     ORDER BY offer_cents, collected_at) AS rn FROM raw_offers)
+            WHERE rn = 1"""),
     "AG-15",
 )
 def _(t):

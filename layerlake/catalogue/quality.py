@@ -10,7 +10,7 @@ from ..operators import aggregates as agg
 from ..operators import checks, profile, scorecard
 from ..operators.dedup import duplicated_keys
 from ..plans import marts
-from ..plans.bindings import CHANNELS, MIN_COMPETITORS
+from ..plans.bindings import CHANNELS, LINE_KEY, MIN_COMPETITORS
 from ..session import materialize
 from ..sinks.datasets import DROP, FAIL, WARN, Expectation, expectation_counts, split_on
 from .joins import t_segments
@@ -161,9 +161,9 @@ def _(t):
 
 @query(
     "check_suite",
-    sql("""SELECT 'sales: unique order_id, line_no' AS "check", 0 AS n_problems, 'OK' AS status
-           UNION ALL SELECT 'raw: unique order_id, line_no', n, CASE n WHEN 0 THEN 'OK' ELSE 'FAILED' END
-             FROM (SELECT count(*) AS n FROM (SELECT 1 FROM raw_lines GROUP BY order_id, line_no HAVING count(*) > 1))
+    sql("""SELECT 'sales: unique order_id, line_no, product_id, supplier_id' AS "check", 0 AS n_problems, 'OK' AS status
+           UNION ALL SELECT 'raw: unique order_id, line_no, product_id, supplier_id', n, CASE n WHEN 0 THEN 'OK' ELSE 'FAILED' END
+             FROM (SELECT count(*) AS n FROM (SELECT 1 FROM single_lines GROUP BY order_id, line_no, product_id, supplier_id HAVING count(*) > 1))
            UNION ALL SELECT 'sales: required fields', 0, 'OK'
            UNION ALL SELECT 'sales: known channel', 0, 'OK'
            UNION ALL SELECT 'sales: revenue is quantity times price', 0, 'OK'
@@ -173,10 +173,10 @@ def _(t):
            UNION ALL SELECT 'segments: total revenue equals sales', 0, 'OK'
            UNION ALL SELECT 'products: total revenue equals sales', 0, 'OK'
            UNION ALL SELECT 'raw: total revenue equals sales', n, CASE n WHEN 0 THEN 'OK' ELSE 'FAILED' END
-             FROM (SELECT CASE WHEN (SELECT sum(quantity * unit_cents) FROM raw_lines)
+             FROM (SELECT CASE WHEN (SELECT sum(quantity * unit_cents) FROM single_lines)
                                   = (SELECT sum(cents) FROM sales) THEN 0 ELSE 1 END AS n)
            UNION ALL SELECT 'raw: row count equals sales', n, CASE n WHEN 0 THEN 'OK' ELSE 'FAILED' END
-             FROM (SELECT CASE WHEN (SELECT count(*) FROM raw_lines) = (SELECT count(*) FROM sales)
+             FROM (SELECT CASE WHEN (SELECT count(*) FROM single_lines) = (SELECT count(*) FROM sales)
                                THEN 0 ELSE 1 END AS n)"""),
     "DQ-22",
 )
@@ -186,13 +186,13 @@ def _(t):
     sales, people = materialize(t.sales()), t.customers()  # read by most of the checks
     tables = {
         "sales": sales,
-        "raw": t.raw_priced(),
+        "raw": t.single_priced(),
         "segments": t_segments(t, sales, people),
         "products": marts.product_performance(sales, t.products(), ranked=False),
     }
     suite = checks.CheckSuite(tables)
     for table in ("sales", "raw"):
-        suite.unique(table, ["order_id", "line_no"])
+        suite.unique(table, LINE_KEY)
     required = checks.any_null("order_id", "line_no", "sold_at", "customer_id", "product_id", "quantity", "unit_price")
     product = money.line_revenue("quantity", "unit_price")
     suite.rows("sales", "required fields", required)

@@ -50,11 +50,14 @@ def title_case(text: str) -> str:
 TITLE = "^(" + "|".join(fixed.TITLES) + r")\.\s+"
 
 PARTS = {
-    "raw_lines": """
-        SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_no, l_partkey AS product_id,
+    "single_lines": """
+        SELECT l_orderkey AS order_id, CAST(l_linenumber AS BIGINT) AS line_no,
+               CASE WHEN l_partkey % 150 = 7 THEN l_partkey + 10000000 ELSE l_partkey END AS product_id,
                l_suppkey AS supplier_id, l_linestatus AS channel, CAST(l_quantity AS BIGINT) AS quantity,
                CAST(floor(round(l_extendedprice * 100) / l_quantity) AS BIGINT) AS unit_cents
         FROM lineitem""",
+    "raw_lines": """
+        SELECT * FROM single_lines UNION ALL SELECT * FROM single_lines WHERE order_id % 10 = 0""",
     "raw_orders": """
         SELECT o_orderkey AS order_id, o_custkey AS customer_id, o_orderdate AS sold_at FROM orders""",
     "raw_sales": """
@@ -62,8 +65,8 @@ PARTS = {
         FROM raw_lines l JOIN raw_orders o USING (order_id)""",
     "lines": """
         SELECT * EXCLUDE (rn), quantity * unit_cents AS cents
-        FROM (SELECT *, row_number() OVER (PARTITION BY order_id, line_no
-                 ORDER BY product_id, supplier_id, channel, quantity, unit_cents) AS rn FROM raw_lines)
+        FROM (SELECT *, row_number() OVER (PARTITION BY order_id, line_no, product_id, supplier_id
+                 ORDER BY channel, quantity, unit_cents) AS rn FROM raw_lines)
         WHERE rn = 1""",
     "sales": f"""
         SELECT l.*, o.customer_id, o.sold_at, CAST(o.sold_at AS DATE) AS sale_date,
@@ -76,7 +79,7 @@ PARTS = {
                p_type AS category, p_brand AS brand,
                CAST(round(p_retailprice * 100) AS BIGINT) AS list_cents,
                CAST(DATE '1995-01-01' + CAST(p_size * 4 AS INTEGER) AS TIMESTAMP) AS created_at
-        FROM part WHERE NOT (p_size = 1 AND p_type IN ('ECONOMY', 'SMALL'))""",
+        FROM part""",
     "products": """
         SELECT *, CASE WHEN list_cents > 97500 THEN 'PREMIUM' WHEN list_cents > 92500 THEN 'MEDIO'
                        ELSE 'BASICO' END AS price_band
@@ -97,9 +100,12 @@ PARTS = {
         FROM raw_customers c LEFT JOIN states s ON upper(trim(c.state)) = s.state""",
     "raw_offers": """
         SELECT l_partkey AS product_id, l_suppkey AS competitor,
-               CAST(floor(round(l_extendedprice * 100) / l_quantity) AS BIGINT) AS offer_cents,
+               CAST(floor(round(p_retailprice * 100) * CASE l_partkey % 10
+                   WHEN 0 THEN 70 + (l_suppkey * 13 + l_orderkey * 7) % 90 % 25
+                   WHEN 1 THEN 105 + (l_suppkey * 13 + l_orderkey * 7) % 90 % 25 WHEN 2 THEN 100
+                   ELSE 55 + (l_suppkey * 13 + l_orderkey * 7) % 90 END / 100) AS BIGINT) AS offer_cents,
                l_shipdate AS collected_at
-        FROM lineitem""",
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "offers": """
         SELECT o.product_id, o.competitor, o.offer_cents, o.collected_at,
                coalesce(o.offer_cents * 10 < p.list_cents * 6, false) AS is_suspicious

@@ -110,13 +110,13 @@ def _(t):
 @query(
     "never_sold_products",
     sql("""SELECT p.product_id, p.product_name FROM products p
-           LEFT JOIN (SELECT * FROM sales WHERE sale_date >= DATE '2001-07-01') s ON p.product_id = s.product_id
+           LEFT JOIN raw_lines s ON p.product_id = s.product_id
            WHERE s.product_id IS NULL"""),
     "JN-4", "QY-28",
 )
 def _(t):
-    recent = t.sales().where(F.col("sale_date") >= F.lit("2001-07-01").cast("date"))
-    unsold = without_facts(t.products(), recent, "product_id")
+    # repeats of a sale do not matter to the question, so lines are only reduced to their ids
+    unsold = without_facts(t.products(), t.raw_lines().select("product_id").distinct(), "product_id")
     return unsold.select("product_id", "product_name")
 
 
@@ -312,12 +312,14 @@ def _(t):
 
 @query(
     "cheaper_position_by_category",
-    sql("""SELECT category, price_position, count(*) AS n_products FROM competitiveness GROUP BY ALL"""),
+    sql(f"""SELECT category, count(*) AS n_products FROM competitiveness
+            WHERE price_position = '{fixed.CHEAPER_THAN_ALL}' GROUP BY ALL"""),
     "QY-15", "QY-25",
 )
 def _(t):
     out = marts.competitiveness(t.products(), t.unflagged_offers(), t.line_sales())
-    return out.groupBy("category", "price_position").agg(F.count("*").alias("n_products"))
+    cheaper = out.where(F.col("price_position") == fixed.CHEAPER_THAN_ALL)
+    return cheaper.groupBy("category").agg(F.count("*").alias("n_products"))
 
 
 @query(
@@ -325,13 +327,13 @@ def _(t):
     sql(f"""SELECT v.revenue_rank, v.product_name, {shown('p.list_cents', 'list_price')},
                    {shown('p.mean_cents', 'mean_price')}, p.diff_pct_vs_mean
             FROM performance v JOIN competitiveness p ON v.product_id = p.product_id
-            WHERE v.revenue_rank <= 50 AND p.diff_pct_vs_mean > -60"""),
+            WHERE v.revenue_rank <= 50 AND p.diff_pct_vs_mean > 0"""),
     "QY-23", "JN-9",
 )
 def _(t):
     sales, products = t.line_sales(), t.products()
     best = marts.product_performance(sales, products).where("revenue_rank <= 50")
-    market = marts.competitiveness(products, t.unflagged_offers(), sales).where(F.col("diff_pct_vs_mean") > -60)
+    market = marts.competitiveness(products, t.unflagged_offers(), sales).where(F.col("diff_pct_vs_mean") > 0)
     joined = best.select("product_id", "revenue_rank").join(market, "product_id")
     return joined.select("revenue_rank", "product_name", "list_price", "mean_price", "diff_pct_vs_mean")
 

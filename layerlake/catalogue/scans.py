@@ -137,8 +137,8 @@ def _(t):
 
 @query(
     "updated_channel_counts",
-    """SELECT CASE WHEN l_linestatus = 'F' THEN 'STORE' ELSE l_linestatus END AS channel,
-              count(*) AS n_rows FROM lineitem GROUP BY 1""",
+    sql("""SELECT CASE WHEN channel = 'F' THEN 'STORE' ELSE channel END AS channel, count(*) AS n_rows
+           FROM raw_lines GROUP BY 1"""),
     "SNK-8",
 )
 def _(t):

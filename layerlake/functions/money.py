@@ -50,7 +50,8 @@ def from_cents(cents: Column | str, kind: str = TOTAL) -> Column:
 
 
 def to_cents(money: Column | str) -> Column:
-    return (_c(money) * 100).cast("bigint")
+    """Whole cents, rounded half up."""
+    return F.round(_c(money) * 100, 0).cast("bigint")
 
 
 def total(money: Column | str) -> Column:

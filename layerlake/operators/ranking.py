@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -86,10 +87,16 @@ def top_k_per_group(
 
 
 def exact_quantiles(df: DataFrame, value: str, key: str, shares: Sequence[str]) -> DataFrame:
-    """The values at the given shares of the ranked rows (``ceil(share * n)``-th smallest), exactly."""
+    """The values at the given shares of the ranked rows (``ceil(share * n)``-th smallest), exactly.
+
+    One row per share. Shares are decimals over 0 and up to 1, of at most 15 places.
+    """
+    for share in map(Decimal, shares):
+        if not 0 < share <= 1 or -share.as_tuple().exponent > 15:
+            raise ValueError(f"{share} is no share over 0 and up to 1 of at most 15 places")
     ranked = global_rank(df.where(F.col(value).isNotNull()).select(key, value), [value, key], "_rank")
     targets = ranked.agg(F.count("*").alias("_n")).select(
-        "_n", F.explode(F.array(*[F.lit(s).cast("decimal(6,4)") for s in shares])).alias("share")
+        F.col("_n").cast("decimal(20,0)").alias("_n"), F.explode(F.array(*[F.lit(s).cast("decimal(16,15)") for s in shares])).alias("share")
     )
     targets = targets.select("share", F.ceil(F.col("share") * F.col("_n")).cast("bigint").alias("_rank"))
     return ranked.join(F.broadcast(targets), "_rank").select("share", value)  # one target per share

@@ -27,7 +27,8 @@ PRICE_BANDS = [(Decimal("975"), "PREMIUM"), (Decimal("925"), "MEDIO")]
 SEGMENTS = [(Decimal("2100000"), "VIP"), (Decimal("1280000"), "TOP_TIER")]
 MIN_COMPETITORS = 20
 CHANNELS = ["F", "O"]
-LINE_KEY = ["order_id", "line_no"]
+LINE_KEY = ["order_id", "line_no", "product_id", "supplier_id"]
+UNKNOWN_PRODUCT = 10_000_000
 
 
 class Tables:
@@ -42,12 +43,18 @@ class Tables:
     # -- raw ---------------------------------------------------------------
 
     def raw_lines(self) -> DataFrame:
-        """Order lines; ``(order_id, line_no)`` repeats."""
+        """Order lines as they arrive: those of every tenth order come twice."""
+        lines = self.single_lines()
+        return lines.unionByName(lines.where(F.col("order_id") % 10 == 0))
+
+    def single_lines(self) -> DataFrame:
+        """Every order line once. Sales of some products name an id that no catalog holds."""
+        product = F.col("l_partkey")
         cents = F.floor(F.rint(F.col("l_extendedprice") * 100) / F.col("l_quantity"))
         return self.table("lineitem").select(
             F.col("l_orderkey").alias("order_id"),
             F.col("l_linenumber").alias("line_no"),
-            F.col("l_partkey").alias("product_id"),
+            F.when(product % 150 == 7, product + UNKNOWN_PRODUCT).otherwise(product).alias("product_id"),
             F.col("l_suppkey").alias("supplier_id"),
             F.col("l_linestatus").alias("channel"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -66,10 +73,8 @@ class Tables:
         return self.raw_lines().join(self.raw_orders(), "order_id")
 
     def raw_products(self) -> DataFrame:
-        """The catalog. Some small articles were never registered in it."""
-        part = self.table("part").where(
-            ~((F.col("p_size") == 1) & F.col("p_type").isin("ECONOMY", "SMALL"))
-        )
+        """The whole catalog."""
+        part = self.table("part")
         named = F.when(F.col("p_size") == 7, "Brand#3").otherwise(F.col("p_brand"))
         created = F.date_add(F.lit("1995-01-01").cast("date"), F.col("p_size") * 4)
         return part.select(
@@ -104,9 +109,18 @@ class Tables:
         )
 
     def raw_offers(self) -> DataFrame:
-        """Prices seen at suppliers, who act as competitors; pairs repeat."""
-        cents = F.floor(F.rint(F.col("l_extendedprice") * 100) / F.col("l_quantity"))
-        return self.table("lineitem").select(
+        """Prices seen at suppliers, who act as competitors; pairs repeat.
+
+        They are percentages of the list price: below it for some products,
+        above it or equal for others, and on both sides for most.
+        """
+        spread = (F.col("l_suppkey") * 13 + F.col("l_orderkey") * 7) % 90
+        kind = F.col("l_partkey") % 10
+        percent = F.when(kind == 0, 70 + spread % 25).when(kind == 1, 105 + spread % 25).when(kind == 2, 100)
+        cents = F.floor(F.rint(F.col("p_retailprice") * 100) * percent.otherwise(55 + spread) / 100)
+        part = self.table("part").select("p_partkey", "p_retailprice")
+        lines = self.table("lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
+        return lines.select(
             F.col("l_partkey").alias("product_id"),
             F.col("l_suppkey").alias("competitor"),
             (cents / 100).alias("competitor_price"),
@@ -164,6 +178,10 @@ class Tables:
         """Raw lines, repeats included, with exact revenue."""
         return priced(self.raw_lines())
 
+    def single_priced(self) -> DataFrame:
+        """Every order line once, as stored, with exact revenue."""
+        return priced(self.single_lines())
+
     def raw_order_totals(self) -> DataFrame:
         """Raw lines totalled per order, with customer and time."""
         return self._per_order(self.raw_priced())

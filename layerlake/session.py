@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -43,6 +45,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         configured = tempfile.mkdtemp(prefix="layerlake-checkpoint-")
+        atexit.register(shutil.rmtree, configured, ignore_errors=True)
     context.setCheckpointDir(configured)
     return configured
 

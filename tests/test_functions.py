@@ -148,3 +148,10 @@ def test_conditional_set_and_rename(spark):
     changed = cols.conditional_set(df, "canal_venda", "ECOMMERCE", F.col("canal_venda") == "ecommerce")
     assert [r[0] for r in changed.collect()] == ["ECOMMERCE", "loja_fisica", None]
     assert cols.rename_columns(df, fixed.PORTUGUESE_COLUMNS).columns == ["channel", "quantity"]
+
+
+def test_cents_are_rounded(spark):
+    df = spark.sql("SELECT * FROM VALUES (0.29D), (1.13D), (4.35D) AS t(x)")
+    assert str(df.agg(money.total("x")).first()[0]) == "5.77"
+    df = spark.sql("SELECT 1.9999BD AS x")
+    assert str(df.agg(money.total("x")).first()[0]) == "2.00"

@@ -102,7 +102,12 @@ def test_plain_limit_and_bottom_n(spark):
 def test_exact_quantiles(uncoalesced):
     df = uncoalesced.range(1, 101).select("id", (F.col("id") * 10).alias("v"))
     rows = ranking.exact_quantiles(df, "v", "id", ["0.3", "0.8", "0.805"]).collect()
-    assert {str(r["share"]): r["v"] for r in rows} == {"0.3000": 300, "0.8000": 800, "0.8050": 810}
+    assert {float(r["share"]): r["v"] for r in rows} == {0.3: 300, 0.8: 800, 0.805: 810}
+    rows = ranking.exact_quantiles(df, "v", "id", ["0.99995", "0.00004"]).collect()
+    assert {float(r["share"]): r["v"] for r in rows} == {0.99995: 1000, 0.00004: 10}
+    for share in ("0", "1.2", "-0.1"):
+        with pytest.raises(ValueError):
+            ranking.exact_quantiles(df, "v", "id", [share])
 
 
 # -- joins and flags ---------------------------------------------------------
