@@ -31,7 +31,9 @@ from .vocab import Memo, byte_letters, splitter, units, unreached
 
 FILE = "byte_bpe_50k.json"
 LIMIT = 512
-MEMORY = 600_000
+MEMORY = 1_000_000
+#: A space or none, Latin letters, and ASCII marks other than an apostrophe: two pieces at most.
+WORD = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@[-`{-~]*)").fullmatch
 
 
 class PrefixCounter:
@@ -66,23 +68,29 @@ class PrefixCounter:
         a, b = pair
         return self.core.encode_single_piece(self.text_of[a] + self.text_of[b]) == [a, b]
 
-    def _piece(self, piece: str) -> list[int]:
+    def _piece(self, piece: str) -> bytes | list[int]:
         """Counts after each character of one piece; between characters' bytes the table goes on inside."""
         data = piece.encode()
-        n, token, follows, longest = len(data), self.token, self.follows, self.longest
+        n, token, follows, longest = len(data), self.token.get, self.follows, self.longest
         last, count = [-1] * (n + 1), [0] * (n + 1)
         for i in range(1, n + 1):
-            for j in range(max(0, i - longest), i):
-                t = token.get(data[j:i])
-                if t is not None and (j == 0 or follows[last[j], t]):
+            for j in range(i - longest if i > longest else 0, i):
+                t = token(data[j:i])
+                if t is not None and (not j or follows[last[j], t]):
                     last[i], count[i] = t, count[j] + 1
                     break
-        if n == len(piece):
-            return count[1:]
-        return [count[i] for i in range(1, n + 1) if i == n or data[i] & 0xC0 != 0x80]
+        if n != len(piece):
+            count = [0, *(count[i] for i in range(1, n + 1) if i == n or data[i] & 0xC0 != 0x80)]
+        return bytes(count[1:]) if n < 256 else count[1:]
 
     def _unit(self, unit: str) -> bytes:
         """Changes of the count over the prefixes of a unit, each prefix split as if the text ended there."""
+        m = WORD(unit)
+        if m:
+            out = list(self.table[m[1]])
+            if m[2]:
+                out += [out[-1] + c for c in self.table[m[2]]]
+            return array("i", map(int.__sub__, out, [0, *out])).tobytes()
         out, done, at = [], 0, 0
         for piece in self.pieces(unit):
             if piece.isspace() or piece[0] == "'":  # a prefix that ends here may be split in another way
