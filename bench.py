@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from layerlake.catalogue import QUERIES
@@ -52,6 +53,7 @@ def timed(spark, name: str, folder: str) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
+    scratch = tempfile.TemporaryDirectory(prefix="bench-")
     spark = build_session(
         "bench",
         f"local[{cpus}]",
@@ -59,6 +61,7 @@ def main() -> None:
         spark__driver__memory="16g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        spark__checkpoint__dir=scratch.name,
     )
     spark.sparkContext.setLogLevel("ERROR")
     cold, best = {}, {}
@@ -80,6 +83,7 @@ def main() -> None:
         )
     )
     spark.stop()
+    scratch.cleanup()
 
 
 if __name__ == "__main__":
