@@ -29,7 +29,7 @@ def load_raw(lake: Lake, folder: str) -> None:
     """Fill the raw layer from the star-schema test tables, unchanged by cleaning."""
     t = Tables(lake.spark, folder)
     raw = {
-        "raw_sales": t.raw_sales(),
+        "raw_sales": t.single_lines().join(t.raw_orders(), "order_id"),
         "raw_products": t.raw_products(),
         "raw_customers": t.raw_customers(),
         "raw_competitor_prices": t.raw_offers(),

@@ -35,7 +35,7 @@ def _schema(*columns: tuple[str, str, str]) -> T.StructType:
 
 
 def _keys(s: Settings) -> list[tuple[str, str, str]]:
-    return [(k, s.id_type, "Key of the sale.") for k in s.sale_key]
+    return [(k, s.id_type, "Key of the sale.") for k in s.sale_key if k != "product_id"]
 
 
 def products(s: Settings) -> T.StructType:
