@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from typing import Any
 
@@ -16,8 +17,8 @@ def _c(col: Column | str) -> Column:
 
 
 def title_pattern(titles: Sequence[str] = fixed.TITLES) -> str:
-    """Pattern of a title at the start of a name: the title, a dot, at least one space."""
-    return "^(" + "|".join(titles) + r")\.\s+"
+    """Pattern of a title, taken literally, at the start of a name: the title, a dot, at least one space."""
+    return "^(" + "|".join(map(re.escape, titles)) + r")\.\s+"
 
 
 def has_title(name: Column | str, titles: Sequence[str] = fixed.TITLES) -> Column:

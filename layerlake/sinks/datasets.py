@@ -2,7 +2,8 @@
 
 A refresh computes the whole dataset, counts expectations while the rows are
 being written to a staging folder, and publishes the folder only if no ``fail``
-rule was broken. Otherwise the previous version stays what readers see.
+rule was broken. Otherwise the folder is deleted and the previous version stays what
+readers see.
 """
 
 from __future__ import annotations
@@ -139,8 +140,9 @@ class Lake:
 
         fatal = {r.name: failed[r.name] for r in rules if r.action == FAIL and failed[r.name]}
         if fatal:
+            table.discard(folder)
             raise ExpectationFailure(f"{dataset.name}: {fatal}")
-        version = table.publish([folder], dataset.schema, "REFRESH")
+        version = table.publish([folder], dataset.schema, "REFRESH", dataset.comment or None)
         written = counts["n"] if not drops else table.read().count()
         return Refresh(version, written, failed)
 

@@ -19,7 +19,7 @@ from ..functions.columns import conditional_set
 from .tables import checked_for
 
 LOG_SCHEMA = (
-    "version bigint, operation string, folders array<string>, schema string, committed_at timestamp"
+    "version bigint, operation string, folders array<string>, schema string, comment string, committed_at timestamp"
 )
 
 
@@ -51,15 +51,27 @@ class SnapshotTable:
         df.write.mode("errorifexists").parquet(f"{self.path}/{folder}")
         return folder
 
-    def publish(self, folders: list[str], schema: T.StructType, operation: str) -> int:
-        """Make the folders the newest version."""
-        last = self.current_version()
-        version = 0 if last is None else last + 1
+    def discard(self, folder: str) -> None:
+        """Delete a staged folder that will not be published."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+    def comment(self) -> str | None:
+        """What the newest version says about the table."""
+        return self._entry(None)["comment"]
+
+    def publish(self, folders: list[str], schema: T.StructType, operation: str, comment: str | None = None) -> int:
+        """Make the folders the newest version; without a comment the one of the version before stays."""
+        newest = self.history().orderBy(F.desc("version")).first()
+        version = 0 if newest is None else newest["version"] + 1
+        if comment is None and newest is not None:
+            comment = newest["comment"]
         entry = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"),
             F.lit(operation).alias("operation"),
             F.array(*[F.lit(f) for f in folders]).alias("folders"),
             F.lit(schema.json()).alias("schema"),
+            F.lit(comment).cast("string").alias("comment"),
             F.current_timestamp().alias("committed_at"),
         )
         entry.coalesce(1).write.mode("append").json(f"{self.path}/log")

@@ -155,3 +155,8 @@ def test_cents_are_rounded(spark):
     assert str(df.agg(money.total("x")).first()[0]) == "5.77"
     df = spark.sql("SELECT 1.9999BD AS x")
     assert str(df.agg(money.total("x")).first()[0]) == "2.00"
+
+
+def test_titles_are_taken_literally(spark):
+    df = spark.createDataFrame([("Dr (h.c.). Ana Lima",), ("Dr xhxcx. Ana Lima",)], "x string")
+    assert one(df, cols.has_title("x", ["Dr (h.c.)"])) == [True, False]

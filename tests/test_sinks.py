@@ -169,12 +169,28 @@ def test_broken_fail_rule_keeps_the_old_data(spark, lake):
     strict = ds.Dataset("channels", SCHEMA, by_channel, expectations=[ds.Expectation("many", "items > 1000000", ds.FAIL)])
     with pytest.raises(ds.ExpectationFailure, match="many"):
         lake.refresh(strict)
-    assert lake.table("channels").current_version() == 0
+    table = lake.table("channels")
+    assert table.current_version() == 0
     assert lake.read("channels").count() == 2
+    published = table.history().first()["folders"]
+    staged = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(f"{table.path}/data")
+    left = {r.path.split("/")[-2] for r in staged.select("path").distinct().collect()}
+    assert left == {f.split("/")[-1] for f in published}
     row = lake.metrics().where("rule = 'many'").first()
     assert (row["passed"], row["failed"], row["action"]) == (0, 2, "fail")
 
 
+def test_comment_is_stored_and_stays(lake):
+    lake.refresh(ds.Dataset("channels", SCHEMA, by_channel, comment="items by channel"))
+    table = lake.table("channels")
+    assert table.comment() == "items by channel"
+    table.restore(0)
+    lake.refresh(ds.Dataset("channels", SCHEMA, by_channel))
+    assert table.current_version() == 2 and table.comment() == "items by channel"
+    lake.refresh(ds.Dataset("channels", SCHEMA, by_channel, comment="other"))
+    assert table.comment() == "other"
+
+
 def test_warn_counts_and_keeps_then_fails_when_promoted(lake):
     kind = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("price", T.DecimalType(10, 2))])
     rule = ds.Expectation("at_least_one", F.col("price") >= 1)
