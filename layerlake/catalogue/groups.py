@@ -133,7 +133,7 @@ def _(t):
     "AG-11",
 )
 def _(t):
-    return agg.share_where(t.flagged_sales(), ~F.col("is_registered"))
+    return agg.share_where(t.sales_by_registration(), ~F.col("is_registered"), weight="n_sales")
 
 
 @query(
@@ -242,7 +242,7 @@ def _(t):
     "AG-16", "QY-27",
 )
 def _(t):
-    return agg.value_counts(t.flagged_sales(), "is_registered")
+    return t.sales_by_registration().groupBy("is_registered").agg(F.sum("n_sales").alias("n_rows"))
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money
 from ..operators import aggregates as agg
-from ..operators import checks, joins, pricing, segments, terms
+from ..operators import checks, joins, pricing, ranking, segments, terms
 from ..plans import marts
 from ..session import materialize
 from .reference_sql import big, day, half_up, pct, shown, sql
@@ -160,7 +160,7 @@ def _(t):
 )
 def _(t):
     sales, products = t.line_sales(), t.products()
-    best = marts.product_performance(sales, products).where("revenue_rank <= 100")
+    best = ranking.top_ranked(marts.product_totals(sales), [F.desc("revenue"), "product_id"], 100, "revenue_rank")
     market = marts.competitiveness(products, t.unflagged_offers(), sales)
     return best.select("product_id", "revenue_rank").join(market, "product_id").select(
         "revenue_rank", "product_id", "list_price", "mean_price", "diff_pct_vs_mean"

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from ..functions import fixed_values as fixed
 from ..operators import aggregates as agg
 from ..operators import checks, profile, scorecard
 from ..operators.dedup import duplicated_keys
@@ -13,6 +14,7 @@ from ..plans import marts
 from ..plans.bindings import CHANNELS, LINE_KEY, MIN_COMPETITORS
 from ..session import materialize
 from ..sinks.datasets import DROP, FAIL, WARN, Expectation, expectation_counts, split_on
+from .datasets import scorecard as scorecard_of
 from .joins import t_segments
 from .reference_sql import big, shown, sql, ts
 from .registry import query
@@ -139,8 +141,8 @@ def _(t):
     "DQ-20", "FLT-9",
 )
 def _(t):
-    sales, missing = t.flagged_sales(), ~F.col("is_registered")
-    counts = sales.agg(F.count_if(missing).alias("bad"), F.count("*").alias("n"))
+    bad = F.when(~F.col("is_registered"), F.col("n_sales")).otherwise(0)
+    counts = t.sales_by_registration().agg(F.sum(bad).alias("bad"), F.sum("n_sales").alias("n"))
     rows = F.col("n").cast("decimal(20,0)")
     return counts.select(
         F.when(F.col("bad") >= rows * F.lit(Decimal("0.01")), 1).otherwise(0).alias("at_one_percent"),
@@ -159,40 +161,91 @@ def _(t):
     return counts.where(F.col("n_suspicious") * 10 >= F.col("n_offers"))
 
 
+def _twice(table: str, key: str) -> str:
+    return f"SELECT 1 FROM {table} GROUP BY {key} HAVING count(*) > 1"
+
+
+def _unequal(one: str, other: str) -> str:
+    return f"SELECT 1 WHERE (SELECT {one}) IS DISTINCT FROM (SELECT {other})"
+
+
+_KEY = ", ".join(LINE_KEY)
+_TOTAL, _COUNT = "sum(cents) FROM sales", "count(*) FROM sales"
+
+#: Each check and the SQL of its problem rows.
+SUITE = {
+    f"sales: unique {_KEY}": _twice("sales", _KEY),
+    f"raw: unique {_KEY}": _twice("single_lines", _KEY),
+    f"detailed: unique {_KEY}": _twice("detailed", _KEY),
+    "catalog: unique product_id": _twice("products", "product_id"),
+    "customers: unique customer_id": _twice("customers", "customer_id"),
+    "prices: unique product_id": _twice("competitiveness", "product_id"),
+    "scorecard: unique rule": _twice("scorecard", "rule"),
+    "segments: unique customer_id": _twice("segments", "customer_id"),
+    "scorecard: known severity": f"""SELECT 1 FROM scorecard
+        WHERE severity NOT IN ('{fixed.ALERT}', '{fixed.INFORMATIVE}', '{fixed.CORRECTED}')""",
+    "customers: customer has a region": "SELECT 1 FROM customers WHERE region IS NULL",
+    "segments: customer has a region": "SELECT 1 FROM segments WHERE region IS NULL",
+    "segments: known segment": "SELECT 1 FROM segments WHERE segment NOT IN ('VIP', 'TOP_TIER', 'REGULAR')",
+    "segments: top segment reaches its threshold": "SELECT 1 FROM segments WHERE segment = 'VIP' AND cents < 210000000",
+    "sales: required fields": """SELECT 1 FROM sales WHERE order_id IS NULL OR line_no IS NULL OR sold_at IS NULL
+        OR customer_id IS NULL OR product_id IS NULL OR quantity IS NULL OR unit_cents IS NULL""",
+    "sales: known channel": "SELECT 1 FROM sales WHERE channel IS NULL OR channel NOT IN ('F', 'O')",
+    "sales: positive quantity and price": "SELECT 1 FROM sales WHERE NOT coalesce(quantity > 0 AND unit_cents > 0, false)",
+    "sales: revenue is quantity times price": "SELECT 1 FROM sales WHERE NOT coalesce(cents = quantity * unit_cents, false)",
+    "detailed: sale has segment and region": "SELECT 1 FROM detailed WHERE segment IS NULL OR region IS NULL",
+    "detailed: unregistered products stay tolerable": """SELECT 1 FROM
+        (SELECT count(*) AS n, count(*) FILTER (WHERE NOT is_registered) AS bad FROM flagged) WHERE n > 0 AND 100 * bad >= n""",
+    "segments: total revenue equals sales": _unequal("sum(cents) FROM segments", _TOTAL),
+    "products: total revenue equals sales": _unequal("sum(cents) FROM performance", _TOTAL),
+    "raw: total revenue equals sales": _unequal("sum(quantity * unit_cents) FROM single_lines", _TOTAL),
+    "time: total revenue equals sales": _unequal(
+        "sum(c) FROM (SELECT sum(cents) AS c FROM sales GROUP BY sale_date, sale_hour, channel)", _TOTAL),
+    "detailed: total revenue equals sales": _unequal("sum(cents) FROM detailed", _TOTAL),
+    "raw: row count equals sales": _unequal("count(*) FROM single_lines", _COUNT),
+    "detailed: row count equals sales": _unequal("count(*) FROM detailed", _COUNT),
+}
+
+
 @query(
     "check_suite",
-    sql("""SELECT 'sales: unique order_id, line_no, product_id, supplier_id' AS "check", 0 AS n_problems, 'OK' AS status
-           UNION ALL SELECT 'raw: unique order_id, line_no, product_id, supplier_id', n, CASE n WHEN 0 THEN 'OK' ELSE 'FAILED' END
-             FROM (SELECT count(*) AS n FROM (SELECT 1 FROM single_lines GROUP BY order_id, line_no, product_id, supplier_id HAVING count(*) > 1))
-           UNION ALL SELECT 'sales: required fields', 0, 'OK'
-           UNION ALL SELECT 'sales: known channel', 0, 'OK'
-           UNION ALL SELECT 'sales: revenue is quantity times price', 0, 'OK'
-           UNION ALL SELECT 'segments: customer has a region', 0, 'OK'
-           UNION ALL SELECT 'segments: top segment reaches its threshold', 0, 'OK'
-           UNION ALL SELECT 'segments: unique customer_id', 0, 'OK'
-           UNION ALL SELECT 'segments: total revenue equals sales', 0, 'OK'
-           UNION ALL SELECT 'products: total revenue equals sales', 0, 'OK'
-           UNION ALL SELECT 'raw: total revenue equals sales', n, CASE n WHEN 0 THEN 'OK' ELSE 'FAILED' END
-             FROM (SELECT CASE WHEN (SELECT sum(quantity * unit_cents) FROM single_lines)
-                                  = (SELECT sum(cents) FROM sales) THEN 0 ELSE 1 END AS n)
-           UNION ALL SELECT 'raw: row count equals sales', n, CASE n WHEN 0 THEN 'OK' ELSE 'FAILED' END
-             FROM (SELECT CASE WHEN (SELECT count(*) FROM single_lines) = (SELECT count(*) FROM sales)
-                               THEN 0 ELSE 1 END AS n)"""),
+    sql("\nUNION ALL\n".join(
+        f"""SELECT '{label}' AS "check", count(*) AS n_problems,
+                   CASE count(*) WHEN 0 THEN 'OK' ELSE 'FAILED' END AS status FROM ({problems})"""
+        for label, problems in SUITE.items()
+    )),
     "DQ-22",
 )
 def _(t):
     from ..functions import money
 
-    sales, people = materialize(t.sales()), t.customers()  # read by most of the checks
+    sales, products, people = materialize(t.sales()), t.products(), t.customers()  # sales are read by most of the checks
+    segments = t_segments(t, sales, people)
+    detailed = marts.detailed_sales(sales, products, segments).select(*LINE_KEY, "segment", "region", "is_registered", "revenue")
     tables = {
         "sales": sales,
         "raw": t.single_priced(),
-        "segments": t_segments(t, sales, people),
-        "products": marts.product_performance(sales, t.products(), ranked=False),
+        "catalog": products,
+        "customers": people,
+        "segments": segments,
+        "products": marts.product_performance(sales, products, ranked=False),
+        "time": marts.sales_over_time(sales),
+        "detailed": materialize(detailed),
+        "prices": marts.competitiveness(products, t.unflagged_offers(), sales),
+        "scorecard": materialize(scorecard_of(t)),
     }
     suite = checks.CheckSuite(tables)
-    for table in ("sales", "raw"):
+    for table in ("sales", "raw", "detailed"):
         suite.unique(table, LINE_KEY)
+    for table, key in (("catalog", "product_id"), ("customers", "customer_id"), ("prices", "product_id"), ("scorecard", "rule")):
+        suite.unique(table, [key])
+    severities = [fixed.ALERT, fixed.INFORMATIVE, fixed.CORRECTED]
+    suite.rows("scorecard", "known severity", checks.outside("severity", severities))
+    suite.rows("customers", "customer has a region", F.col("region").isNull())
+    suite.rows("segments", "known segment", checks.outside("segment", ["VIP", "TOP_TIER", "REGULAR"]))
+    suite.rule("sales", "positive quantity and price", (F.col("quantity") > 0) & (F.col("unit_price") > 0))
+    suite.rows("detailed", "sale has segment and region", checks.any_null("segment", "region"))
+    suite.share_below("detailed", "unregistered products stay tolerable", ~F.col("is_registered"), Decimal("0.01"))
     required = checks.any_null("order_id", "line_no", "sold_at", "customer_id", "product_id", "quantity", "unit_price")
     product = money.line_revenue("quantity", "unit_price")
     suite.rows("sales", "required fields", required)
@@ -202,9 +255,10 @@ def _(t):
     low_vip = (F.col("segment") == "VIP") & (F.col("revenue") < 2100000)
     suite.rows("segments", "top segment reaches its threshold", low_vip)
     suite.unique("segments", ["customer_id"])
-    for other in ("segments", "products", "raw"):
+    for other in ("segments", "products", "raw", "time", "detailed"):
         suite.same_total("sales", other)
-    suite.same_count("sales", "raw")
+    for other in ("raw", "detailed"):
+        suite.same_count("sales", other)
     return suite.results()
 
 

@@ -212,7 +212,7 @@ def _(t):
     "QY-10", "ST-4",
 )
 def _(t):
-    best = t_segments(t, ranked=True).where("revenue_rank <= 5")
+    best = ranking.top_ranked(t_segments(t), [F.desc("revenue"), "customer_id"], 5, "revenue_rank")
     return best.select("revenue_rank", "customer_name", "state", "revenue")
 
 
@@ -332,7 +332,7 @@ def _(t):
 )
 def _(t):
     sales, products = t.line_sales(), t.products()
-    best = marts.product_performance(sales, products).where("revenue_rank <= 50")
+    best = ranking.top_ranked(marts.product_totals(sales), [F.desc("revenue"), "product_id"], 50, "revenue_rank")
     market = marts.competitiveness(products, t.unflagged_offers(), sales).where(F.col("diff_pct_vs_mean") > 0)
     joined = best.select("product_id", "revenue_rank").join(market, "product_id")
     return joined.select("revenue_rank", "product_name", "list_price", "mean_price", "diff_pct_vs_mean")
@@ -416,16 +416,22 @@ def _(t):
     sql(f"""SELECT 'sales' AS layer, {shown('sum(cents)', 'revenue')} FROM sales
             UNION ALL SELECT 'product performance', {shown('sum(cents)', 'revenue')} FROM performance
             UNION ALL SELECT 'customer segments', {shown('sum(cents)', 'revenue')} FROM segments
-            UNION ALL SELECT 'region and channel', {shown('sum(cents)', 'revenue')} FROM region_channel"""),
+            UNION ALL SELECT 'region and channel', {shown('sum(cents)', 'revenue')} FROM region_channel
+            UNION ALL SELECT 'sales over time', {shown('sum(cents)', 'revenue')}
+              FROM (SELECT sum(cents) AS cents FROM sales GROUP BY sale_date, sale_hour, channel)
+            UNION ALL SELECT 'detailed sales', {shown('sum(cents)', 'revenue')} FROM detailed"""),
     "QY-26", "SO-3",
 )
 def _(t):
     sales, people = materialize(t.sales()), t.customers()  # read by every layer
+    products, by_customer = t.products(), t_segments(t, sales, people)
     return agg.tagged_totals(
         {
             "sales": sales,
-            "product performance": marts.product_performance(sales, t.products(), ranked=False),
-            "customer segments": t_segments(t, sales, people),
+            "product performance": marts.product_performance(sales, products, ranked=False),
+            "customer segments": by_customer,
             "region and channel": marts.sales_by_region_and_channel(sales, people),
+            "sales over time": marts.sales_over_time(sales),
+            "detailed sales": marts.detailed_sales(sales, products, by_customer),
         }
     )

@@ -141,7 +141,8 @@ def _(t):
     "ST-4", "QY-8",
 )
 def _(t):
-    best = marts.product_performance(t.line_sales(), t.products()).where("revenue_rank <= 5")
+    products = marts.product_performance(t.line_sales(), t.products(), ranked=False)
+    best = ranking.top_ranked(products, [F.desc("revenue"), "product_id"], 5, "revenue_rank")
     return best.select("revenue_rank", "product_id", "product_name", "category", "revenue")
 
 

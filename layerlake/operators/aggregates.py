@@ -111,6 +111,11 @@ def _stacked(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def share_where(df: DataFrame, condition: Column, name: str = "share") -> DataFrame:
-    """One row: the share of rows for which ``condition`` is true."""
-    return df.agg(F.avg(F.when(condition, 1).otherwise(0)).alias(name))
+def share_where(df: DataFrame, condition: Column, name: str = "share", weight: str | None = None) -> DataFrame:
+    """One row: the share of rows for which ``condition`` is true.
+
+    In a frame of partial counts each row stands for ``weight`` rows.
+    """
+    if weight is None:
+        return df.agg(F.avg(F.when(condition, 1).otherwise(0)).alias(name))
+    return df.agg((F.sum(F.when(condition, F.col(weight)).otherwise(0)) / F.sum(weight)).alias(name))

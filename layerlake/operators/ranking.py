@@ -74,6 +74,14 @@ def top_n(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def top_ranked(df: DataFrame, order: Sequence[Column | str], n: int, name: str = "rank") -> DataFrame:
+    """The first ``n`` rows with their row number, without ranking the rest.
+
+    The window has no partitions, but only the ``n`` rows of the limit reach it.
+    """
+    return top_n(df, order, n).withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+
+
 def top_k_per_group(
     df: DataFrame, group: Sequence[str], order: Sequence[Column | str], k: int, name: str = "rank"
 ) -> DataFrame:

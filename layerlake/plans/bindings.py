@@ -195,5 +195,16 @@ class Tables:
     def flagged_sales(self) -> DataFrame:
         return with_registration_flags(self.sales(), self.products(), "product_id", "sold_at", "created_at")
 
+    def sales_by_registration(self) -> DataFrame:
+        """is_registered and n_sales of each sold product id.
+
+        Sales are counted per id before the catalog is joined. The distinct
+        keys are all that is needed of them, and orders are not.
+        """
+        counts = self.raw_lines().select(*LINE_KEY).distinct().groupBy("product_id").agg(F.count("*").alias("n_sales"))
+        known = self.products().select("product_id", F.lit(True).alias("_known"))
+        joined = counts.join(known, "product_id", "left")
+        return joined.select(F.coalesce("_known", F.lit(False)).alias("is_registered"), "n_sales")
+
     def event_sales(self) -> DataFrame:
         return priced_sales(self.raw_event_sales(), keys=["sale_id"])
