@@ -14,7 +14,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from layerlake.llm import byte_bpe, licenses, packing, pii, quality_rules, queries, repeats, revisits, simhash, token_counts, topk
+from layerlake.llm import byte_bpe, licenses, near_copies, packing, pii, quality_rules, queries, repeats, revisits, simhash, token_counts, topk
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _k string, fp string"
 
@@ -105,6 +105,63 @@ def test_links_are_all_found(spark):
     assert got == want
 
 
+def shingle_sets(text):
+    w = [x.decode() for x in (text or "").encode().lower().split()]
+    return {" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def one_of_each_group(rows):
+    """Ids that stay of (id, text): the smallest of each group linked by a Jaccard similarity of 0.8 or more."""
+    sets, root = [shingle_sets(t) for _, t in rows], list(range(len(rows)))
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+
+    for a, x in enumerate(sets):
+        for b, y in enumerate(sets[:a]):
+            if 10 * len(x & y) >= 8 * len(x | y):
+                root[find(a)] = find(b)
+    first = {}
+    for n, (i, _) in enumerate(rows):
+        first.setdefault(find(n), []).append(i)
+    return sorted((min((i for i in ids if i is not None), default=None) for ids in first.values()), key=str)
+
+
+def test_near_copies_beyond_four_bits(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(3)
+    rows, wide = [], 0
+    for n in range(40):
+        words = [f"w{rnd.randrange(900)}" for _ in range(rnd.choice([60, 300, 900]))]
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(n % 3):  # chains of near copies, some beyond 0.8 of the first
+            for _ in range(len(words) // 60 + 1):
+                words[rnd.randrange(len(words))] = "other"
+            rows.append((len(rows), " ".join(words)))
+            near = [r for r in rows[:-1] if shingle_sets(r[1]) & shingle_sets(rows[-1][1])]
+            wide += all((simhash.fingerprint(rows[-1][1]) ^ simhash.fingerprint(t)).bit_count() > 4 for _, t in near)
+    rows += [(None, rows[0][1]), (None, "no id " * 9), (None, "No  id " * 9), (7, rows[7][1]), (-1, ""), (-2, None), (-3, "a b"), (-4, "A  b")]
+    rows += [(1000 + i, t + " tail") for i, t in rows[:5]]
+    rnd.shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = corpus_pipeline.near_duplicates(spark, df, "")
+    assert wide > 5 and kept.columns == df.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == one_of_each_group(rows)
+
+
+def test_near_copies_without_a_common_first(docs, nothing, spark):
+    got = sorted((r.doc_id for r in near_copies.one_of_each(docs).collect()), key=str)
+    assert got == one_of_each_group([(r.doc_id, r.text) for r in docs.collect()])
+    assert near_copies.one_of_each(nothing).count() == 0
+    # a chain: neighbours are alike, ends are not, so that bands hold several components on the way
+    rows = [(99 - i, " ".join(f"{i + j}" for j in range(100))) for i in range(0, 60, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in near_copies.one_of_each(df).collect()] == one_of_each_group(rows) == [42]
+
+
 def test_personal_data(docs):
     model = pii.learned(docs)
     got = {r.doc_id: r for r in pii.found(docs, model).collect()}
