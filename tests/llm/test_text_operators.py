@@ -402,3 +402,44 @@ def test_pipeline(spark, small):
             assert {r.doc_id for r in out.collect()} <= {r.doc_id for r in docs.collect()} <= base
         docs = out
     assert docs.count() > 0
+
+
+def test_pipeline_stages_keep_and_change_what_they_should(spark, small):
+    """Each stage's rows against the SQL of the rules or a plain Python version, on rows that passed the ones before."""
+    import corpus_pipeline
+
+    con = oracle.connect(small)
+    con.sql(f"CREATE OR REPLACE VIEW documents AS SELECT * FROM '{small}/documents.parquet'")
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.stored(stage(spark, docs, small))
+        rows, got = [r.asDict() for r in docs.collect()], [r.asDict() for r in out.collect()]
+        if name == "quality":
+            ids = {i for (i,) in con.sql(f"SELECT doc_id FROM ({queries.ORACLES['op6_quality']}) WHERE kept").fetchall()}
+            want = [r for r in rows if r["doc_id"] in ids]
+        elif name == "near_duplicates":
+            ids = set(one_of_each_group([(r["doc_id"], r["text"]) for r in rows]))
+            want = [r for r in rows if r["doc_id"] in ids]
+        elif name == "repeated_passages":
+            words = [words_of(r["text"]) for r in rows]
+            seen = Counter(tuple(w[i : i + 35]) for w in words for i in range(len(w) - 34))
+            want = []
+            for r, w in zip(rows, words, strict=True):
+                gone = {j for i in range(len(w) - 34) if seen[tuple(w[i : i + 35])] > 1 for j in range(i, i + 35)}
+                text = " ".join(x for j, x in enumerate(w) if j not in gone) if gone else r["text"]
+                want.append(r | {"text": text, "n_chars": len(text)})
+        elif name == "personal_data":
+            votes = Counter((s[0], tuple(v)) for r in rows for s, _, v in pii.proposals(r["text"]))
+            model = pii.train(sorted((k, v, n) for (k, v), n in votes.items()))
+            texts = [pii.masked_text(r["text"], pii.spans_of(r["text"], model)[1]) for r in rows]
+            want = [r | {"text": t, "n_chars": len(t)} for r, t in zip(rows, texts, strict=True)]
+        else:
+            library = Tokenizer.from_file(public_tokenizers.path(packing.FILE))
+            want = []
+            for r in rows:
+                ids = np.array([*library.encode(r["text"], add_special_tokens=False).ids, 1], "<u4")
+                cut = [(at, ids[at : at + 4096]) for at in range(0, len(ids), 4096)]
+                want += [(r["doc_id"], k, at, len(x), zlib.crc32(x.tobytes())) for k, (at, x) in enumerate(cut)]
+            got = [(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got]
+        assert want and sorted(got, key=str) == sorted(want, key=str), name
+        docs = out
