@@ -6,9 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, licenses, packing, pii, quality_rules, repeats, revisits, simhash, token_counts, topk
+from . import (
+    byte_bpe, divergence, fill_middle, licenses, packing, pii, quality_rules, repeats, revisits, simhash, token_counts,
+    topk, url_rules,
+)
 from .common import read
-from .reference_sql import LICENSES, QUALITY, REPEATS, REVISITS, TOP_K
+from .reference_sql import DIVERGENCE, FILL_MIDDLE, LICENSES, QUALITY, REPEATS, REVISITS, TOP_K, URL_RULES
 
 
 def near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,6 +106,18 @@ def bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     return byte_bpe.round_trip(read(spark, folder, "documents"), public_tokenizers.path(byte_bpe.FILE))
 
 
+def source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(read(spark, folder, "documents"))
+
+
+def url_verdicts(spark: SparkSession, folder: str) -> DataFrame:
+    return url_rules.judged(read(spark, folder, "pages"), url_rules.rule_table(spark, url_rules.RULES))
+
+
+def fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    return fill_middle.digests(fill_middle.transformed(read(spark, folder, "documents")))
+
+
 QUERIES = {
     "op1_simhash": near_duplicates,
     "op2_pii": personal_data,
@@ -114,7 +129,11 @@ QUERIES = {
     "op8_top_k": exact_top_k,
     "op9_repeats": repeated_passages,
     "op10_byte_bpe": bpe_round_trip,
+    "op11_divergence": source_divergence,
+    "op12_url_filter": url_verdicts,
+    "op13_fill_middle": fill_in_middle,
 }
 ORACLES = {
     "op3_revisits": REVISITS, "op5_licenses": LICENSES, "op6_quality": QUALITY, "op8_top_k": TOP_K, "op9_repeats": REPEATS,
+    "op11_divergence": DIVERGENCE, "op12_url_filter": URL_RULES, "op13_fill_middle": FILL_MIDDLE,
 }

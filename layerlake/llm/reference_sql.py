@@ -115,3 +115,56 @@ SELECT doc_id, path, own_license, own_cosine, coalesce(own_license, given) AS li
        CASE WHEN own_license IS NULL THEN above END AS from_folder
 FROM near"""
 
+
+ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(text, '') AS text, coalesce(lang, '') AS lang,
+                  coalesce(source, '') AS source FROM documents),
+t AS (SELECT r, lang, source, unnest(regexp_extract_all({ASCII_LOWER.format('text')}, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY ALL HAVING count(DISTINCT r) >= 30),
+n AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+each AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n
+         FROM g JOIN kept USING (lang) LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term),
+p AS (SELECT *, 1 + 1000000000::HUGEINT * (n + 5) // (sum(n) OVER w + 5 * count(*) OVER w) AS p FROM each
+      WINDOW w AS (PARTITION BY lang, source)),
+whole AS (SELECT lang, term, sum(n) AS n FROM each GROUP BY ALL),
+q AS (SELECT lang, term, 1 + 1000000000::HUGEINT * (n + 5) // (sum(n) OVER w + 5 * count(*) OVER w) AS q FROM whole
+      WINDOW w AS (PARTITION BY lang)),
+f AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS f
+      FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+out AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f, 0)::BIGINT AS value
+        FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source
+             LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+        UNION ALL
+        SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+FROM out QUALIFY part = 'pair' OR rank <= 50"""
+
+URL_RULES = f"""
+WITH a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+u AS (SELECT row_number() OVER () AS r, page_id, {ASCII_LOWER.format("regexp_extract(rest, '^[^/?#]*')")} AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+rules(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                          ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+b AS (SELECT r, max_by(h || p, length(h || p)) AS rule, max_by(v, length(h || p)) AS verdict
+      FROM u JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM u LEFT JOIN b USING (r)"""
+
+FILL_MIDDLE = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || doc_id) AS h FROM documents),
+t AS (SELECT *, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS units FROM d),
+r AS (SELECT *, len(units) AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+             ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM t),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+             CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+                  WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM r),
+x AS (SELECT *, array_to_string(units[:a], '') AS p, array_to_string(units[a + 1 : b], '') AS m,
+             array_to_string(units[b + 1 :], '') AS s FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM x"""
