@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from ..functions import money
 from ..operators import aggregates as agg
-from ..operators import ranking
+from ..operators import selection
 from ..operators.dedup import first_by_key
 from ..operators.pricing import difference_to_unrounded_mean, mean_difference_by
 from ..operators.segments import customer_totals
+from ..plans import marts
 from ..plans.bindings import LINE_KEY
+from ..session import materialize
 from .joins import t_segments
 from .reference_sql import big, day, half_up, pct, shown, sql, ts
 from .registry import query
@@ -272,7 +274,25 @@ def _(t):
 )
 def _(t):
     totals = customer_totals(t.order_sales())
-    return ranking.exact_quantiles(totals, "revenue", "customer_id", ["0.3", "0.5", "0.8"])
+    return selection.quantiles(totals, "revenue", ["0.3", "0.5", "0.8"])
+
+
+@query(
+    "customers_rolled_up",
+    sql("""SELECT channel, count(DISTINCT customer_id) AS customers, true AS is_within_bound FROM event_sales GROUP BY 1
+           UNION ALL SELECT 'all', count(DISTINCT customer_id), true FROM event_sales"""),
+    "AG-5", "DS-5",
+)
+def _(t):
+    sales = t.event_sales()
+    fine = materialize(marts.sales_over_time(sales, sketches=True))  # day, hour and channel
+    per_channel = agg.rolled_up(fine, ["channel"], name="estimate")
+    whole = agg.rolled_up(per_channel.withColumn("channel", F.lit("all")), ["channel"], name="estimate")
+    estimates = per_channel.unionByName(whole).select("channel", "estimate")
+    pairs = sales.select("channel", "customer_id").distinct()
+    exact = pairs.unionByName(pairs.select("customer_id").distinct().select(F.lit("all").alias("channel"), "customer_id"))
+    exact = exact.groupBy("channel").agg(F.count("customer_id").alias("customers"))
+    return exact.join(estimates, "channel").select("channel", "customers", agg.is_within_bound("estimate", "customers").alias("is_within_bound"))
 
 
 @query(

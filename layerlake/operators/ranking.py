@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .selection import quantiles
 
 _POS, _SLOT, _BEFORE = "_pos", "_slot", "_before"
 _IN_SLOT = (1 << 33) - 1  # monotonically_increasing_id: partition in the upper bits, row in the lower 33
@@ -69,6 +69,49 @@ def rank_within(
     )
 
 
+def previous_value(
+    df: DataFrame, order: Sequence[Column | str], value: str, name: str, group: str | None = None
+) -> DataFrame:
+    """``LAG(value) OVER ([PARTITION BY group] ORDER BY order)`` for tables and groups of any size.
+
+    Rows are range-sorted by (group, order). Inside a partition the row before
+    is at hand; the first row of a partition takes its value from the last row
+    of the partition before, one carried row per partition, if that is of the
+    same group. End ``order`` with a unique key.
+    """
+    placed = _placed(df, [*([group] if group else []), *order])
+    carried = [F.col(value).alias("_value"), (F.col(group) if group else F.lit(0)).alias("_of")]
+    edges = placed.groupBy(_SLOT).agg(F.max_by(F.struct(*carried), _POS).alias("_last"))
+    filled = sorted(r[0] for r in placed.select(_SLOT).distinct().collect())  # one number per partition
+    following = [None] * (filled[-1] + 1) if filled else [None]
+    for slot, after in zip(filled, filled[1:], strict=False):
+        following[slot] = after
+    after = F.get(F.array(*[F.lit(x).cast("bigint") for x in following]), F.col(_SLOT).cast("int"))
+    edges = edges.select(after.alias("_next"), "_last").where("_next IS NOT NULL")
+    inside = Window.partitionBy(_SLOT).orderBy(_POS)
+    rows = placed.withColumn("_lag", F.lag(F.struct(*carried)).over(inside))
+    rows = rows.join(F.broadcast(edges), (F.col(_SLOT) == F.col("_next")) & (F.col(_POS) == 0), "left")
+    before = F.coalesce("_lag", "_last")
+    if group:
+        before = F.when(before["_of"].eqNullSafe(F.col(group)), before)
+    return rows.withColumn(name, before["_value"]).drop(_SLOT, _POS, "_lag", "_next", "_last")
+
+
+def sampled(df: DataFrame, n: int, key: Sequence[str], seed: int = 0, group: Sequence[str] = ()) -> DataFrame:
+    """``n`` rows, or ``n`` of each group, by chance but the same on every run: those whose hash is smallest.
+
+    The hash is the MD5 of the seed and the key, so the choice does not depend
+    on partitions or order, and a larger sample holds the smaller one. Each
+    task keeps only its ``n`` rows before the merge. Equal keys are
+    interchangeable; a null counts as an empty text.
+    """
+    parts = [F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]]
+    rows = df.withColumn("_hash", F.md5(F.concat_ws(":", *parts).cast("binary")))
+    order = ["_hash", *key]
+    chosen = top_k_per_group(rows, group, order, n, "_place").drop("_place") if group else top_n(rows, order, n)
+    return chosen.drop("_hash")
+
+
 def top_n(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:
     """The first ``n`` rows; each task keeps only ``n`` before the merge."""
     return df.orderBy(*order).limit(n)
@@ -97,14 +140,7 @@ def top_k_per_group(
 def exact_quantiles(df: DataFrame, value: str, key: str, shares: Sequence[str]) -> DataFrame:
     """The values at the given shares of the ranked rows (``ceil(share * n)``-th smallest), exactly.
 
-    One row per share. Shares are decimals over 0 and up to 1, of at most 15 places.
+    One row per share. Shares are decimals over 0 and up to 1, of at most 15 places. Nothing is sorted, and
+    ``key`` is not read: rows that differ only by it have the same value.
     """
-    for share in map(Decimal, shares):
-        if not 0 < share <= 1 or -share.as_tuple().exponent > 15:
-            raise ValueError(f"{share} is no share over 0 and up to 1 of at most 15 places")
-    ranked = global_rank(df.where(F.col(value).isNotNull()).select(key, value), [value, key], "_rank")
-    targets = ranked.agg(F.count("*").alias("_n")).select(
-        F.col("_n").cast("decimal(20,0)").alias("_n"), F.explode(F.array(*[F.lit(s).cast("decimal(16,15)") for s in shares])).alias("share")
-    )
-    targets = targets.select("share", F.ceil(F.col("share") * F.col("_n")).cast("bigint").alias("_rank"))
-    return ranked.join(F.broadcast(targets), "_rank").select("share", value)  # one target per share
+    return quantiles(df.select(value), value, shares)
