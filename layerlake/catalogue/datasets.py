@@ -108,7 +108,7 @@ def _(t):
                    sale_hour, channel, product_id, product_name, category, brand, price_band, customer_id,
                    customer_name, state, region, segment, quantity, {shown('unit_cents', 'unit_price')},
                    {shown('cents', 'revenue')}, is_registered, is_before_registration FROM detailed"""),
-    "DS-9", "JN-7", "SNK-5",
+    "DS-9", "JN-7",
 )
 def _(t):
     return money.without_cents(detailed(t)).drop("supplier_id")

@@ -13,8 +13,8 @@ TESTED = {
     "SRC-7": ("sources.files.list_files", "test_sources.test_listing_and_ingest_columns"),
     "SRC-8": ("sources.files.with_ingest_columns", "test_sources.test_listing_and_ingest_columns"),
     "SRC-9": (
-        "streaming.incremental.load_new_files, sources.files.read_modified_after",
-        "test_sources.test_incremental_load_takes_each_file_once, test_modified_after",
+        "streaming.incremental.load_new_files, append_batch, sources.files.read_modified_after",
+        "test_sources.test_incremental_load_takes_each_file_once, test_incremental_load_of_many_batches_and_a_replay, test_modified_after",
     ),
     "SRC-11": ("sources.catalog.list_tables, describe_columns", "test_sources.test_ingest_all_twice_is_once, test_sinks.test_comments_and_documentation"),
     "SRC-13": ("sources.catalog.query_table, namespace_reader", "test_sources.test_ingest_all_twice_is_once"),
@@ -29,12 +29,23 @@ TESTED = {
     "SNK-10": ("sinks.tables.create_namespace, drop_tables", "test_sources.test_ingest_all_twice_is_once"),
     "SNK-11": ("sinks.tables.export_parquet", "test_sinks.test_export"),
     "SNK-12": ("sources.files.land_raw_copy", "test_sources.test_landing_copy_is_unchanged"),
-    "ST-6": ("DataFrame.limit", "test_operators.test_plain_limit_and_bottom_n"),
+    "ST-6": ("DataFrame.limit, operators.ranking.sampled", "test_operators.test_plain_limit_and_bottom_n, test_samples_do_not_depend_on_partitions"),
     "SF-15": ("functions.money.format_brl", "test_functions.test_display_format"),
     "DQ-2": ("sinks.datasets.Lake.refresh", "test_sinks.test_broken_fail_rule_keeps_the_old_data"),
     "DQ-4": ("sinks.datasets.Lake.refresh", "test_sinks.test_broken_fail_rule_keeps_the_old_data"),
     "DQ-21": ("operators.checks.CheckSuite.documented, sources.catalog.undocumented_columns", "test_sinks.test_comments_and_documentation"),
-    "DQ-22": ("operators.checks.CheckSuite.run", "test_operators.test_failing_suite_names_every_failure"),
+    "DQ-18": ("sinks.datasets.Lake.reconciled, plans.layers.reconciled", "test_sinks.test_totals_are_compared_without_reading_the_data"),
+    "DQ-19": ("sinks.datasets.Lake.reconciled, plans.layers.reconciled", "test_sinks.test_changed_files_are_found_on_request"),
+    "DQ-22": (
+        "operators.checks.CheckSuite.run",
+        "test_operators.test_failing_suite_names_every_failure, test_statistics.test_suite_reads_each_table_once",
+    ),
+    "DQ-25": ("operators.profile.profile_columns, outliers", "test_statistics.test_profile_counts_and_fences"),
+    "AG-5": ("operators.aggregates.rolled_up", "test_statistics.test_sketches_roll_up"),
+    "AG-18": ("operators.selection.quantiles", "test_statistics.test_quantiles_of_any_numbers"),
+    "JN-5": ("operators.terms.other_term_mentions", "test_statistics.test_mentions_with_short_and_long_terms"),
+    "WN-5": ("operators.ranking.previous_value", "test_operators.test_previous_value_over_many_partitions"),
+    "SF-13": ("functions.variants.field_state, split_malformed", "test_sources.test_fields_of_changing_shape"),
 }
 
 

@@ -7,14 +7,15 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
+from ..functions import money
 from ..operators import aggregates as agg
 from ..operators import checks, profile, scorecard
 from ..operators.dedup import duplicated_keys
 from ..plans import marts
 from ..plans.bindings import CHANNELS, LINE_KEY, MIN_COMPETITORS
+from ..plans.cleaning import clean_offers
 from ..session import materialize
 from ..sinks.datasets import DROP, FAIL, WARN, Expectation, expectation_counts, split_on
-from .datasets import scorecard as scorecard_of
 from .joins import t_segments
 from .reference_sql import big, shown, sql, ts
 from .registry import query
@@ -170,6 +171,8 @@ def _unequal(one: str, other: str) -> str:
 
 
 _KEY = ", ".join(LINE_KEY)
+#: What the checks and the scorecard need of a detailed sale.
+DETAIL = ["segment", "region", "is_registered", "is_before_registration", "revenue", "revenue_cents"]
 _TOTAL, _COUNT = "sum(cents) FROM sales", "count(*) FROM sales"
 
 #: Each check and the SQL of its problem rows.
@@ -217,11 +220,11 @@ SUITE = {
     "DQ-22",
 )
 def _(t):
-    from ..functions import money
-
-    sales, products, people = materialize(t.sales()), t.products(), t.customers()  # sales are read by most of the checks
-    segments = t_segments(t, sales, people)
-    detailed = marts.detailed_sales(sales, products, segments).select(*LINE_KEY, "segment", "region", "is_registered", "revenue")
+    # each stored table is computed once, from those stored before it
+    sales, products, people = materialize(t.sales()), materialize(t.products()), materialize(t.customers())
+    segments = materialize(t_segments(t, sales, people))
+    offers = materialize(clean_offers(t.raw_offers(), products))
+    detailed = materialize(marts.detailed_sales(sales, products, segments).select(*LINE_KEY, *DETAIL))
     tables = {
         "sales": sales,
         "raw": t.single_priced(),
@@ -230,9 +233,9 @@ def _(t):
         "segments": segments,
         "products": marts.product_performance(sales, products, ranked=False),
         "time": marts.sales_over_time(sales),
-        "detailed": materialize(detailed),
-        "prices": marts.competitiveness(products, t.unflagged_offers(), sales),
-        "scorecard": materialize(scorecard_of(t)),
+        "detailed": detailed,
+        "prices": marts.competitiveness(products, offers, sales),
+        "scorecard": marts.quality_scorecard(detailed, products, people, offers, min_competitors=MIN_COMPETITORS),
     }
     suite = checks.CheckSuite(tables)
     for table in ("sales", "raw", "detailed"):
@@ -262,14 +265,27 @@ def _(t):
     return suite.results()
 
 
+def _quartiles(c: str) -> str:
+    at = lambda share: f"max({c}) FILTER (WHERE r = ({share} * n + 3) // 4)"
+    numbered = f"SELECT {c}, row_number() OVER (ORDER BY {c}) AS r, count(*) OVER () AS n FROM part WHERE {c} IS NOT NULL"
+    return f", (SELECT CAST({at(1)} AS DOUBLE) AS q1, CAST({at(3)} AS DOUBLE) AS q3 FROM ({numbered}))"
+
+
+def _fences(c: str) -> str:
+    low, high = "q1 - (q3 - q1) * 1.5::DOUBLE", "q3 + (q3 - q1) * 1.5::DOUBLE"
+    return f"""any_value({low}) AS low_fence, any_value({high}) AS high_fence,
+               count(*) FILTER (WHERE {c} < {low} OR {c} > {high}) AS n_outliers"""
+
+
 @query(
     "part_profile",
     "\nUNION ALL\n".join(
         f"""SELECT '{c}' AS column_name, '{kind}' AS data_type, count(*) AS n_rows,
                    count(*) - count({c}) AS n_nulls, count(DISTINCT {c}) AS n_distinct,
                    CAST(min({c}) AS VARCHAR) AS smallest, CAST(max({c}) AS VARCHAR) AS largest,
-                   {f"count(*) FILTER (WHERE {c} <= 0)" if kind != "string" else "0"} AS n_not_positive
-            FROM part"""
+                   {f"count(*) FILTER (WHERE {c} <= 0)" if kind != "string" else "0"} AS n_not_positive,
+                   {_fences(c) if kind != "string" else "NULL AS low_fence, NULL AS high_fence, 0 AS n_outliers"}
+            FROM part{_quartiles(c) if kind != "string" else ""}"""
         for c, kind in [
             ("p_partkey", "bigint"), ("p_name", "string"), ("p_brand", "string"),
             ("p_type", "string"), ("p_size", "int"), ("p_retailprice", "double"),

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
+from ..functions import variants
 from ..functions.columns import conditional_set, rename_columns
 from ..operators import aggregates as agg
 from ..session import ensure_checkpoint_dir
@@ -191,3 +192,30 @@ def _(t):
         F.col("s_acctbal").cast("decimal(10,2)").alias("balance"),
         F.lit(None).cast("decimal(20,2)").alias("credit"),
     )
+
+
+_UNTIDY = """CASE event_id % 10 WHEN 0 THEN '{"k": "many"}' WHEN 1 THEN '{"other": 1}'
+             WHEN 2 THEN left(props, length(props) - 1) ELSE props END"""
+
+
+@query(
+    "fields_of_changing_shape",
+    f"""WITH t AS (SELECT event_type, {_UNTIDY} AS x FROM events),
+        p AS (SELECT event_type, json_valid(x) AS ok, CASE WHEN json_valid(x) THEN json_type(x, '$.k') END AS kind,
+                     CASE WHEN json_valid(x) THEN try_cast(json_extract_string(x, '$.k') AS BIGINT) END AS k FROM t)
+        SELECT event_type, count(*) AS n_rows, count(*) FILTER (WHERE NOT ok) AS n_malformed,
+               count(*) FILTER (WHERE ok AND kind IS NULL) AS n_missing,
+               count(*) FILTER (WHERE kind NOT IN ('BIGINT', 'UBIGINT')) AS n_wrong_type,
+               CAST(sum(k) FILTER (WHERE kind IN ('BIGINT', 'UBIGINT')) AS BIGINT) AS k_total
+        FROM p GROUP BY 1""",
+    "SF-13", "SRC-5",
+)
+def _(t):
+    rows = variants.parsed(t.table("events").select("event_type", F.expr(_UNTIDY).alias("text")), "text")
+    state = variants.field_state("text", "fields", "$.k", "BIGINT")
+    rows = rows.select("event_type", state.alias("state"), variants.field("fields", "$.k", "bigint").alias("k"))
+    return rows.groupBy("event_type").agg(
+        F.count("*").alias("n_rows"),
+        *[F.count_if(F.col("state") == s).alias(f"n_{s}") for s in (variants.MALFORMED, variants.MISSING, variants.WRONG_TYPE)],
+        F.sum(F.when(F.col("state") == variants.PRESENT, F.col("k"))).alias("k_total"),
+    )

@@ -62,6 +62,53 @@ def _(t):
     return agg.day_over_day(daily)
 
 
+@query(
+    "hour_over_hour",
+    sql(f"""SELECT {day('sale_date', 'sale_date')}, sale_hour, {shown('c', 'revenue')}, {shown('p', 'previous_revenue')},
+                   {pct('c - p', 'p', 1, 'change_pct')}
+            FROM (SELECT *, lag(c) OVER (ORDER BY sale_date, sale_hour) AS p
+                  FROM (SELECT sale_date, sale_hour, CAST(sum(cents) AS BIGINT) AS c FROM event_sales GROUP BY ALL))"""),
+    "WN-5", "QY-19",
+)
+def _(t):
+    hourly = agg.sales_totals(t.event_sales(), ["sale_date", "sale_hour"]).select("sale_date", "sale_hour", "revenue")
+    return agg.period_over_period(hourly, ["sale_date", "sale_hour"])
+
+
+@query(
+    "product_month_over_month",
+    sql(f"""SELECT product_id, month, {shown('c', 'revenue')}, {shown('p', 'previous_revenue')}, {pct('c - p', 'p', 1, 'change_pct')}
+            FROM (SELECT *, lag(c) OVER (PARTITION BY product_id ORDER BY month) AS p
+                  FROM (SELECT product_id, strftime(sale_date, '%Y-%m') AS month, CAST(sum(cents) AS BIGINT) AS c
+                        FROM sales GROUP BY ALL))"""),
+    "WN-5",
+)
+def _(t):
+    monthly = agg.sales_totals(t.sales(), ["product_id", F.date_format("sale_date", "yyyy-MM").alias("month")])
+    return agg.period_over_period(monthly.select("product_id", "month", "revenue"), ["month"], "product_id")
+
+
+@query(
+    "sampled_orders",
+    """SELECT o_orderkey AS order_id, o_custkey AS customer_id FROM orders ORDER BY md5('7:' || o_orderkey), o_orderkey LIMIT 25""",
+    "ST-6",
+)
+def _(t):
+    orders = t.raw_orders().select("order_id", "customer_id")
+    return ranking.sampled(orders, 25, ["order_id"], seed=7)
+
+
+@query(
+    "sampled_lines_per_channel",
+    sql("""SELECT channel, order_id, line_no FROM single_lines
+           QUALIFY row_number() OVER (PARTITION BY channel ORDER BY md5('3:' || order_id || ':' || line_no), order_id, line_no) <= 10"""),
+    "ST-6",
+)
+def _(t):
+    lines = t.single_lines().select("channel", "order_id", "line_no")
+    return ranking.sampled(lines, 10, ["order_id", "line_no"], seed=3, group=["channel"])
+
+
 @query(
     "shared_name_rows",
     sql("""SELECT product_id, product_name, same_name FROM

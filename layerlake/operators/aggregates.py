@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import money
+from . import ranking
 
 
 def sales_totals(
@@ -55,6 +56,30 @@ def share_of_total(totals: DataFrame, value: str, name: str = "share_pct", place
     return totals.withColumn(name, money.percent(value, whole, places))
 
 
+#: Sketches have 2^12 registers; a union's standard error is 1.04 / 2^6, and three of them are the stated bound.
+SKETCH_BITS = 12
+SKETCH_BOUND = 3 * 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def sketch_of(column: Column | str) -> Column:
+    """Aggregate: a sketch of the distinct values, of bounded size, that can be united with others."""
+    return F.hll_sketch_agg(column, SKETCH_BITS)
+
+
+def rolled_up(totals: DataFrame, keys: Sequence[str], sketch: str = "customer_sketch", name: str = "customers") -> DataFrame:
+    """Distinct values per coarser key, estimated from the sketches of finer rows; the facts are not read again.
+
+    ``name`` holds the estimate and ``sketch`` the united sketch, so the result can be rolled up further.
+    """
+    united = totals.groupBy(*keys).agg(F.hll_union_agg(sketch).alias(sketch))
+    return united.withColumn(name, F.hll_sketch_estimate(sketch))
+
+
+def is_within_bound(estimate: Column | str, exact: Column | str, bound: float = SKETCH_BOUND) -> Column:
+    estimate, exact = (F.col(c) if isinstance(c, str) else c for c in (estimate, exact))
+    return F.abs(estimate - exact) <= exact * bound
+
+
 def mean_per_day(
     totals: DataFrame, keys: Sequence[str], *, revenue: str = "revenue", day: str = "sale_date"
 ) -> DataFrame:
@@ -82,6 +107,18 @@ def day_over_day(daily: DataFrame, day: str = "sale_date", revenue: str = "reven
     )
 
 
+def period_over_period(
+    totals: DataFrame, order: Sequence[str], group: str | None = None, revenue: str = "revenue"
+) -> DataFrame:
+    """The revenue of the period before and the percentage change, for any number of periods and groups.
+
+    One row per period (and group), as many as there are hours or products. No
+    window spans the table or a group; see ``ranking.previous_value``.
+    """
+    before = ranking.previous_value(totals, order, revenue, "previous_revenue", group)
+    return before.withColumn("change_pct", money.percent_above(revenue, "previous_revenue", 1))
+
+
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     return df.groupBy(*columns).agg(F.count("*").alias("n_rows"))
 

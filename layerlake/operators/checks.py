@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
 
@@ -30,67 +30,83 @@ def any_null(*columns: str) -> Column:
     return found
 
 
+@dataclass
+class _Wanted:
+    """What one table has to tell: numbers of rows that meet conditions, totals, keys that occur more than once."""
+
+    rows: list[Column] = field(default_factory=list)
+    totals: list[str] = field(default_factory=list)
+    keys: list[tuple[str, ...]] = field(default_factory=list)
+
+
 @dataclass
 class CheckSuite:
     """Collects checks over named tables and runs them as one query.
 
-    Row checks and totals of a table share one scan. Every check becomes a
-    single number, so the final union has one row per check.
+    Each table is read once: row rules, totals and the row count are measured
+    per value of its key, in the aggregation that also finds keys that occur
+    more than once, and then added up. Only a second key of the same table
+    needs another pass. All measures of all tables, one row each, are brought
+    together and compared at the end.
     """
 
     tables: Mapping[str, DataFrame]
-    _row: dict[str, list[tuple[str, Column]]] = field(default_factory=dict)
-    _other: list[DataFrame] = field(default_factory=list)
+    _wanted: dict[str, _Wanted] = field(default_factory=dict)
+    _checks: list[tuple[str, Callable[[Callable[[str], Column]], Column]]] = field(default_factory=list)
 
     def rows(self, table: str, label: str, problem: Column) -> CheckSuite:
         """Problem rows: those where ``problem`` is true."""
-        self._row.setdefault(table, []).append((f"{table}: {label}", problem))
-        return self
+        found = self._rows(table, problem)
+        return self._add(f"{table}: {label}", lambda of: of(found))
 
     def rule(self, table: str, label: str, rule: Column) -> CheckSuite:
         """Problem rows: those where ``rule`` is false or undecided."""
         return self.rows(table, label, violates(rule))
 
     def unique(self, table: str, keys: Sequence[str], label: str | None = None) -> CheckSuite:
-        dup = duplicated_keys(self.tables[table], keys).agg(F.count("*").alias("n_problems"))
-        return self._add(f"{table}: {label or 'unique ' + ', '.join(keys)}", dup)
+        known = self._of(table).keys
+        if tuple(keys) not in known:
+            known.append(tuple(keys))
+        found = f"{table}/key/{known.index(tuple(keys))}"
+        return self._add(f"{table}: {label or 'unique ' + ', '.join(keys)}", lambda of: of(found))
 
     def same_total(self, base: str, other: str, value: str = "revenue") -> CheckSuite:
         """The total of ``value`` is equal in both tables; missing on one side is a problem."""
-        pair = totals_pair(self.tables[base], self.tables[other], value)
-        n = pair.select(F.when(F.col("left").eqNullSafe(F.col("right")), 0).otherwise(1).alias("n_problems"))
-        return self._add(f"{other}: total {value} equals {base}", n)
+        one, two = self._total(base, value), self._total(other, value)
+        differ = lambda of: F.when(of(one).eqNullSafe(of(two)), 0).otherwise(1)
+        return self._add(f"{other}: total {value} equals {base}", differ)
 
     def same_count(self, base: str, other: str) -> CheckSuite:
-        pair = counts_pair(self.tables[base], self.tables[other])
-        n = pair.select(F.when(F.col("left") == F.col("right"), 0).otherwise(1).alias("n_problems"))
-        return self._add(f"{other}: row count equals {base}", n)
+        one, two = self._count(base), self._count(other)
+        return self._add(f"{other}: row count equals {base}", lambda of: F.when(of(one) == of(two), 0).otherwise(1))
 
     def share_below(self, table: str, label: str, problem: Column, limit: Decimal) -> CheckSuite:
-        return self._add(f"{table}: {label}", share_reaches(self.tables[table], problem, limit))
+        bad, n = self._rows(table, problem), self._count(table)
+        reached = lambda of: F.when((of(n) > 0) & (of(bad) >= of(n).cast("decimal(20,0)") * F.lit(limit)), 1).otherwise(0)
+        return self._add(f"{table}: {label}", reached)
 
     def documented(self, table: str) -> CheckSuite:
         """Every column of the frame carries a comment."""
         missing = [f.name for f in self.tables[table].schema.fields if not f.metadata.get("comment", "").strip()]
-        n = self.tables[table].sparkSession.range(1).select(F.lit(len(missing)).alias("n_problems"))
-        return self._add(f"{table}: every column has a comment", n)
+        return self._add(f"{table}: every column has a comment", lambda of: F.lit(len(missing)))
 
     def results(self) -> DataFrame:
         """``check, n_problems, status`` for every check."""
-        parts = []
-        for table, checks in self._row.items():
-            measures = [F.count_if(problem).alias(f"_n{i}") for i, (_, problem) in enumerate(checks)]
-            entries = [
-                F.struct(F.lit(label).alias("check"), F.col(f"_n{i}").alias("n_problems"))
-                for i, (label, _) in enumerate(checks)
-            ]
-            parts.append(self.tables[table].agg(*measures).select(F.inline(F.array(*entries))))
-        parts += self._other
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
+        parts = [part for table in self._wanted for part in self._measured(table)]
+        if parts:
+            facts = parts[0]
+            for part in parts[1:]:
+                facts = facts.unionByName(part)
+            # one short row for each measure of the suite
+            facts = facts.agg(F.map_from_entries(F.collect_list(F.struct("name", "value"))).alias("facts"))
+        else:
+            facts = next(iter(self.tables.values())).sparkSession.range(1)
+        entries = [
+            F.struct(F.lit(label).alias("check"), n(lambda name: F.col("facts")[name]).cast("bigint").alias("n_problems"))
+            for label, n in self._checks
+        ]
         status = F.when(F.col("n_problems") == 0, "OK").otherwise("FAILED")
-        return out.withColumn("status", status)
+        return facts.select(F.inline(F.array(*entries))).withColumn("status", status)
 
     def run(self) -> list:
         """Run all checks in one job; raise :class:`CheckFailure` naming those that failed."""
@@ -100,12 +116,55 @@ class CheckSuite:
             raise CheckFailure("failed checks:\n- " + "\n- ".join(failed))
         return found
 
-    def _add(self, label: str, one_number: DataFrame) -> CheckSuite:
-        self._other.append(
-            one_number.select(F.lit(label).alias("check"), F.col("n_problems").cast("bigint").alias("n_problems"))
-        )
+    def _of(self, table: str) -> _Wanted:
+        return self._wanted.setdefault(table, _Wanted())
+
+    def _rows(self, table: str, condition: Column) -> str:
+        wanted = self._of(table)
+        wanted.rows.append(condition)
+        return f"{table}/rows/{len(wanted.rows) - 1}"
+
+    def _total(self, table: str, value: str) -> str:
+        totals = self._of(table).totals
+        if value not in totals:
+            totals.append(value)
+        return f"{table}/total/{value}"
+
+    def _count(self, table: str) -> str:
+        self._of(table)
+        return f"{table}/count"
+
+    def _add(self, label: str, n_problems: Callable) -> CheckSuite:
+        self._checks.append((label, n_problems))
         return self
 
+    def _measured(self, table: str) -> list[DataFrame]:
+        """(name, value) of all measures of one table."""
+        df, wanted = self.tables[table], self._wanted[table]
+        measures = [F.count("*").alias("_n")]
+        measures += [F.count_if(problem).alias(f"_r{i}") for i, problem in enumerate(wanted.rows)]
+        measures += [F.sum(money.cents_of(df, value)).alias(f"_t{i}") for i, value in enumerate(wanted.totals)]
+        values = {f"{table}/count": F.col("_n")}
+        values |= {f"{table}/rows/{i}": F.col(f"_r{i}") for i in range(len(wanted.rows))}
+        values |= {f"{table}/total/{value}": money.from_cents(f"_t{i}") for i, value in enumerate(wanted.totals)}
+        if not wanted.keys:
+            return [_long(df.agg(*measures), values)]
+        per_key = df.groupBy(*wanted.keys[0]).agg(*measures)
+        names = ["_n", *[f"_r{i}" for i in range(len(wanted.rows))]]
+        sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names]
+        sums += [F.sum(f"_t{i}").alias(f"_t{i}") for i in range(len(wanted.totals))]
+        whole = per_key.agg(F.count_if(F.col("_n") > 1).alias("_twice"), *sums)
+        out = [_long(whole, values | {f"{table}/key/0": F.col("_twice")})]
+        for i, keys in enumerate(wanted.keys[1:], 1):
+            twice = duplicated_keys(df, keys).agg(F.count("*").alias("_twice"))
+            out.append(_long(twice, {f"{table}/key/{i}": F.col("_twice")}))
+        return out
+
+
+def _long(row: DataFrame, values: Mapping[str, Column]) -> DataFrame:
+    entries = [F.struct(F.lit(name).alias("name"), v.cast("decimal(38,2)").alias("value")) for name, v in values.items()]
+    return row.select(F.inline(F.array(*entries)))
+
 
 def _pair(left: DataFrame, right: DataFrame) -> DataFrame:
     """Two one-row measures side by side, merged by a one-group aggregation."""

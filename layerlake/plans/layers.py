@@ -6,6 +6,7 @@ Raw tables expected in the lake: ``raw_sales``, ``raw_products``,
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
@@ -90,24 +91,28 @@ def datasets(s: Settings = TEST_TABLE_SETTINGS) -> list[Dataset]:
                 Expectation("registered_product", "is_registered"),
                 Expectation("sold_after_registration", "NOT is_before_registration"),
             ],
+            totals=("revenue",),
         ),
         Dataset(
             "sales_over_time",
             schemas.sales_over_time(s),
-            lambda read: marts.sales_over_time(read("sales")),
+            lambda read: marts.sales_over_time(read("sales"), sketches=True),
             "Sales by day, hour and channel.",
+            totals=("revenue",),
         ),
         Dataset(
             "product_performance",
             schemas.product_performance(s),
             lambda read: marts.product_performance(read("sales"), read("products")),
             "Sales per product with rankings.",
+            totals=("revenue",),
         ),
         Dataset(
             "customer_segmentation",
             schemas.customer_segmentation(s),
             lambda read: marts.customer_segmentation(read("customers"), read("sales"), segments=s.segments),
             "Revenue, segment and rank per customer, including customers who never bought.",
+            totals=("revenue",),
         ),
         Dataset(
             "price_competitiveness",
@@ -121,12 +126,14 @@ def datasets(s: Settings = TEST_TABLE_SETTINGS) -> list[Dataset]:
             lambda read: marts.detailed_sales(read("sales"), read("products"), read("customer_segmentation")),
             "One row per sale with product, customer, region and segment.",
             cluster_by=("sale_date",),
+            totals=("revenue",),
         ),
         Dataset(
             "sales_by_region_and_channel",
             schemas.sales_by_region_and_channel(s),
             lambda read: marts.sales_by_region_and_channel(read("sales"), read("customers")),
             "Sales per region and channel.",
+            totals=("revenue",),
         ),
         Dataset(
             "quality_scorecard",
@@ -152,6 +159,15 @@ REVENUE_DATASETS = [
 ]
 
 
+def reconciled(lake: Lake, *, scan: bool = False) -> DataFrame:
+    """Every revenue dataset against the sales, by what was measured while they were written.
+
+    Nothing but the logs is read; with ``scan`` the files are, as after changes that no log knows of.
+    """
+    totals = lake.reconciled("sales", REVENUE_DATASETS, "revenue", scan=scan)
+    return totals.unionByName(lake.reconciled("sales", ["detailed_sales"], scan=scan))
+
+
 def checks(lake: Lake, s: Settings = TEST_TABLE_SETTINGS) -> ck.CheckSuite:
     """The cross-row and cross-table checks over the published tables."""
     declared = datasets(s)

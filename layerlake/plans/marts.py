@@ -8,16 +8,31 @@ from pyspark.sql import functions as F
 from ..functions import columns as cols
 from ..functions import fixed_values as fixed
 from ..functions import money
-from ..operators import ranking, scorecard
+from ..operators import aggregates, ranking, scorecard
 from ..operators.joins import with_registration_flags
 from ..operators.pricing import price_competitiveness
 from ..operators.segments import customer_segments
 from ..operators.terms import rows_mentioning_other_term
 
 
-def sales_over_time(sales: DataFrame) -> DataFrame:
-    """Sales by date, hour and channel. Distinct customers hold for their own row only."""
+def sales_over_time(sales: DataFrame, *, sketches: bool = False) -> DataFrame:
+    """Sales by date, hour and channel. Distinct customers hold for their own row only.
+
+    With ``sketches`` each row also has a sketch of its customers, from which
+    distinct customers of any coarser grouping follow (``aggregates.rolled_up``).
+    """
     keys = ["sale_date", "weekday", "weekday_no", "sale_hour", "channel"]
+    if sketches:  # each customer of a row once, so that every sketch is made of distinct values
+        per_customer = sales.groupBy(*keys, "customer_id").agg(
+            F.count("*").alias("n_sales"), F.sum("quantity").alias("items"), F.sum(money.cents_of(sales, "revenue")).alias("_cents")
+        )
+        return per_customer.groupBy(*keys).agg(
+            F.sum("n_sales").alias("n_sales"),
+            F.sum("items").alias("items"),
+            money.from_cents(F.sum("_cents")).alias("revenue"),
+            F.count("customer_id").alias("customers"),
+            aggregates.sketch_of("customer_id").alias("customer_sketch"),
+        )
     return sales.groupBy(*keys).agg(
         F.count("*").alias("n_sales"),
         F.sum("quantity").alias("items"),

@@ -101,6 +101,7 @@ def sales_over_time(s: Settings) -> T.StructType:
         ("items", "bigint", "Units sold; add up for totals."),
         ("revenue", "decimal(20,2)", "Revenue; add up for totals."),
         ("customers", "bigint", "Distinct customers of this row only; never add up."),
+        ("customer_sketch", "binary", "Sketch of the customers; unite to estimate those of several rows."),
     )
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 from decimal import Decimal as D
 
 import pytest
@@ -391,3 +392,43 @@ def test_tolerance_flips_with_the_limit(spark):
     df = spark.range(0, 3020).select((F.col("id") < 20).alias("bad"))
     at = lambda limit: checks.share_reaches(df, F.col("bad"), D(limit)).first()[0]
     assert (at("0.01"), at("0.005")) == (0, 1)
+
+
+# -- previous values and samples ---------------------------------------------
+
+
+def test_previous_value_over_many_partitions(uncoalesced):
+    """Against a plain walk; groups span partitions, some partitions are empty, values and groups may be null."""
+    rows = [(g, k, None if k % 5 == 0 else D(k)) for g in ("a", None, "b", "") for k in range(1, 40)] + [("one", 1, D("9.00"))]
+    df = uncoalesced.createDataFrame(rows, "g string, k int, v decimal(10,2)").repartition(7)
+    key = lambda r: (r[0] is not None, r[0] or "", r[1])
+    want, last = [], {}
+    for g, k, v in sorted(rows, key=key):
+        want.append((g, k, last.get(g)))
+        last[g] = v
+    got = ranking.previous_value(df, ["k"], "v", "p", "g").select("g", "k", "p")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    numbers = uncoalesced.range(500).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v")).repartition(9)
+    got = ranking.previous_value(numbers, ["k"], "v", "p")
+    assert sorted((r.k, r.p) for r in got.collect()) == [(i, i * 2 - 2 if i else None) for i in range(500)]
+    assert ranking.previous_value(numbers.where("k < 0"), ["k"], "v", "p").collect() == []
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_change_from_the_period_before(spark):
+    df = spark.createDataFrame([(1, D("10.00")), (2, D("15.00")), (4, D("0.00")), (5, D("3.00"))], "hour int, revenue decimal(20,2)")
+    rows = as_dicts(agg.period_over_period(df, ["hour"]), "hour")
+    assert [r["change_pct"] for r in rows] == [None, D("50.0"), D("-100.0"), None]
+
+
+def test_samples_do_not_depend_on_partitions(spark):
+    df = spark.range(900).select("id", (F.col("id") % 3).alias("g"), F.when(F.col("id") > 4, F.col("id")).alias("k"))
+    one = ranking.sampled(df.repartition(1), 20, ["id"], seed=1).collect()
+    many = ranking.sampled(df.repartition(13, "k"), 20, ["id"], seed=1).collect()
+    assert sorted(one) == sorted(many) and len({r.id for r in one}) == 20
+    assert {r.id for r in one} < {r.id for r in ranking.sampled(df, 50, ["id"], seed=1).collect()}
+    assert {r.id for r in one} != {r.id for r in ranking.sampled(df, 20, ["id"], seed=2).collect()}
+    groups = ranking.sampled(df, 7, ["id"], seed=1, group=["g"]).collect()
+    assert sorted(Counter(r.g for r in groups).items()) == [(0, 7), (1, 7), (2, 7)]
+    assert ranking.sampled(df, 5, ["k"]).columns == df.columns and ranking.sampled(df.limit(0), 5, ["id"]).collect() == []
