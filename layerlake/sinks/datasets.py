@@ -10,16 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import money
 from ..functions.columns import violates
 from .snapshots import SnapshotTable
 from .tables import clustered
 
 WARN, DROP, FAIL = "warn", "drop", "fail"
+ROWS = "rows"
 METRICS = "_expectation_metrics"
 METRICS_SCHEMA = (
     "dataset string, rule string, action string, passed bigint, failed bigint, recorded_at timestamp"
@@ -52,6 +55,7 @@ class Dataset:
     comment: str = ""
     expectations: Sequence[Expectation] = ()
     cluster_by: Sequence[str] = ()
+    totals: Sequence[str] = ()  # two-decimal columns whose totals are kept with each version
 
 
 @dataclass(frozen=True)
@@ -115,7 +119,6 @@ class Lake:
     def refresh(self, dataset: Dataset) -> Refresh:
         rows = dataset.build(self.read)
         rules = list(dataset.expectations)
-        drops = [r for r in rules if r.action == DROP]
         flagged = {f"_broken{i}": r.broken for i, r in enumerate(rules)}
         rows = clustered(rows, dataset.cluster_by)
 
@@ -132,7 +135,10 @@ class Lake:
             if r.action == DROP:
                 kept = kept.where(~F.col(f"_broken{i}"))
         table = self.table(dataset.name)
-        final = conform(kept, dataset.schema)
+        # what is in the files: their rows and totals, seen by the tasks that write them
+        written = Observation()
+        sums = [F.sum(money.to_cents(F.col(c))).alias(c) for c in dataset.totals]
+        final = conform(kept, dataset.schema).observe(written, F.count(F.lit(1)).alias(ROWS), *sums)
         folder = table.stage(final)
         counts = seen.get
         failed = {r.name: counts[f"_broken{i}"] for i, r in enumerate(rules)}
@@ -142,9 +148,43 @@ class Lake:
         if fatal:
             table.discard(folder)
             raise ExpectationFailure(f"{dataset.name}: {fatal}")
-        version = table.publish([folder], dataset.schema, "REFRESH", dataset.comment or None)
-        written = counts["n"] if not drops else table.read().count()
-        return Refresh(version, written, failed)
+        held = written.get
+        cents = {c: held[c] for c in dataset.totals}
+        measures = {ROWS: held[ROWS]} | {c: None if v is None else Decimal(v).scaleb(-2) for c, v in cents.items()}
+        version = table.publish([folder], dataset.schema, "REFRESH", dataset.comment or None, measures)
+        return Refresh(version, held[ROWS], failed)
+
+    def measure(self, name: str, measure: str = ROWS, *, scan: bool = False) -> tuple[Decimal | None, str]:
+        """The rows of a dataset, or the total of a column, and where it is from.
+
+        ``log``: measured when the version was written, nothing is read.
+        ``scan``: counted again in the files, on request or if the version has no such measure.
+        """
+        known = None if scan else self.table(name).measures()
+        if known is not None and measure in known:
+            return known[measure], "log"
+        rows = self.read(name)
+        counted = rows.agg(F.count("*").alias("n") if measure == ROWS else money.total_of(rows, measure).alias("n")).first()
+        return None if counted["n"] is None else Decimal(counted["n"]), "scan"
+
+    def reconciled(self, base: str, others: Sequence[str], measure: str = ROWS, *, scan: bool = False) -> DataFrame:
+        """One row per other dataset: its measure against that of ``base``, whether they are equal, and where both are from."""
+        left, from_base = self.measure(base, measure, scan=scan)
+        entries = []
+        for other in others:
+            right, from_other = self.measure(other, measure, scan=scan)
+            entries.append(
+                F.struct(
+                    F.lit(base).alias("base"),
+                    F.lit(other).alias("other"),
+                    F.lit(measure).alias("measure"),
+                    F.lit(left).cast("decimal(38,2)").alias("left"),
+                    F.lit(right).cast("decimal(38,2)").alias("right"),
+                    F.lit(left == right).alias("is_equal"),
+                    F.lit("log" if from_base == from_other == "log" else "scan").alias("source"),
+                )
+            )
+        return self.spark.range(1).select(F.inline(F.array(*entries)))
 
     def refresh_all(self, datasets: Sequence[Dataset]) -> dict[str, Refresh]:
         """Refresh in the given order; a failure stops the ones after it."""

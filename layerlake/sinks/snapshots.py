@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Mapping
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +21,8 @@ from ..functions.columns import conditional_set
 from .tables import checked_for
 
 LOG_SCHEMA = (
-    "version bigint, operation string, folders array<string>, schema string, comment string, committed_at timestamp"
+    "version bigint, operation string, folders array<string>, schema string, comment string, "
+    "measures map<string,string>, committed_at timestamp"
 )
 
 
@@ -60,8 +63,19 @@ class SnapshotTable:
         """What the newest version says about the table."""
         return self._entry(None)["comment"]
 
-    def publish(self, folders: list[str], schema: T.StructType, operation: str, comment: str | None = None) -> int:
-        """Make the folders the newest version; without a comment the one of the version before stays."""
+    def measures(self, version: int | None = None) -> dict[str, Decimal] | None:
+        """What was measured while the version was written, or None if nothing was."""
+        found = self._entry(version)["measures"]
+        return None if found is None else {name: None if v is None else Decimal(v) for name, v in found.items()}
+
+    def publish(
+        self, folders: list[str], schema: T.StructType, operation: str, comment: str | None = None,
+        measures: Mapping[str, Decimal | int | None] | None = None,
+    ) -> int:
+        """Make the folders the newest version; without a comment the one of the version before stays.
+
+        ``measures`` are numbers about the rows of the version, kept with it.
+        """
         newest = self.history().orderBy(F.desc("version")).first()
         version = 0 if newest is None else newest["version"] + 1
         if comment is None and newest is not None:
@@ -72,6 +86,7 @@ class SnapshotTable:
             F.array(*[F.lit(f) for f in folders]).alias("folders"),
             F.lit(schema.json()).alias("schema"),
             F.lit(comment).cast("string").alias("comment"),
+            _map_of(measures).alias("measures"),
             F.current_timestamp().alias("committed_at"),
         )
         entry.coalesce(1).write.mode("append").json(f"{self.path}/log")
@@ -97,7 +112,7 @@ class SnapshotTable:
         """Make an earlier version current again, as a new version that shares its folders."""
         entry = self._entry(version)
         schema = T.StructType.fromJson(json.loads(entry["schema"]))
-        return self.publish(list(entry["folders"]), schema, f"RESTORE {version}")
+        return self.publish(list(entry["folders"]), schema, f"RESTORE {version}", measures=self.measures(version))
 
     def _entry(self, version: int | None):
         log = self.history()
@@ -106,3 +121,9 @@ class SnapshotTable:
         if entry is None:
             raise LookupError(f"{self.path} has no version {'yet' if version is None else version}")
         return entry
+
+
+def _map_of(measures: Mapping | None) -> Column:
+    if measures is None:
+        return F.lit(None).cast("map<string,string>")
+    return F.create_map(*[F.lit(x).cast("string") for name, v in measures.items() for x in (name, None if v is None else str(v))])

@@ -248,3 +248,55 @@ def test_all_layers_refresh_and_reconcile(spark, small, tmp_path):
         layers.checks(lake, replace(tolerant, max_unregistered_share=D("0.0001"))).run()
     warned = lake.metrics().where("action = 'warn' AND failed > 0")
     assert warned.count() > 0
+    for scan in (False, True):
+        rows = layers.reconciled(lake, scan=scan).collect()
+        assert len(rows) == 6 and all(r.is_equal and r.source == ("scan" if scan else "log") for r in rows)
+
+
+# -- reconciliation from the log ---------------------------------------------
+
+
+def money_lake(spark, tmp_path):
+    lake = ds.Lake(spark, str(tmp_path / "lake"))
+    lake.table("raw").overwrite(frame(spark, *ROWS))
+    kind = T.StructType([T.StructField("channel", T.StringType()), T.StructField("price", T.DecimalType(10, 2))])
+    fine = ds.Dataset("fine", kind, lambda read: read("raw"), expectations=[ds.Expectation("dear", "price >= 1", ds.DROP)], totals=["price"])
+    whole = ds.Dataset("whole", kind, lambda read: read("raw").groupBy("channel").agg(F.sum("price").alias("price")), totals=["price"])
+    return lake, fine, whole
+
+
+def test_totals_are_compared_without_reading_the_data(spark, tmp_path, monkeypatch):
+    lake, fine, whole = money_lake(spark, tmp_path)
+    assert lake.refresh(fine).rows == 2
+    lake.refresh(whole)
+    monkeypatch.setattr(SnapshotTable, "read", lambda *a: pytest.fail("the data are read"))
+    row = lake.reconciled("fine", ["whole", "fine"], "price").collect()
+    assert [(r.left, r.right, r.is_equal, r.source) for r in row] == [
+        (D("4.00"), D("4.50"), False, "log"), (D("4.00"), D("4.00"), True, "log")]
+    assert lake.table("fine").measures() == {"rows": D(2), "price": D("4.00")}
+
+
+def test_changed_files_are_found_on_request(spark, tmp_path):
+    lake, _, whole = money_lake(spark, tmp_path)
+    lake.refresh(whole)
+    lake.refresh(replace(whole, name="copy", build=lambda read: read("whole")))
+    table = lake.table("copy")
+    folder = f"{table.path}/{table.history().first()['folders'][0]}"
+    spark.range(1).select(F.lit("e").alias("channel"), F.lit("1.00").cast("decimal(10,2)").alias("price")).write.mode("append").parquet(folder)
+    assert lake.reconciled("whole", ["copy"], "price").first().is_equal
+    found = lake.reconciled("whole", ["copy"], "price", scan=True).first()
+    assert (found.left, found.right, found.is_equal, found.source) == (D("4.50"), D("5.50"), False, "scan")
+    assert not lake.reconciled("whole", ["copy"], scan=True).first().is_equal
+
+
+def test_versions_without_measures_are_scanned(spark, tmp_path):
+    lake, _, whole = money_lake(spark, tmp_path)
+    lake.refresh(whole)
+    table = lake.table("whole")
+    table.append(spark.createDataFrame([("x", D("0.50"))], table.read().schema))
+    row = lake.reconciled("whole", ["raw"], "price").first()
+    assert (row.left, row.right, row.source) == (D("5.00"), D("4.50"), "scan") and table.measures() is None
+    table.restore(0)
+    assert table.measures() == {"rows": D(2), "price": D("4.50")}
+    empty = lake.refresh(replace(whole, name="none", build=lambda read: read("raw").where("false")))
+    assert empty.rows == 0 and lake.table("none").measures() == {"rows": D(0), "price": None}

@@ -143,3 +143,49 @@ def test_incremental_load_takes_each_file_once(spark, tmp_path):
     out = spark.read.parquet(target)
     assert sorted(r["id"] for r in out.collect()) == list(range(8))
     assert out.where(F.col("_source_file").isNull() | F.col("_ingested_at").isNull()).count() == 0
+
+
+def test_incremental_load_of_many_batches_and_a_replay(spark, tmp_path):
+    """More batches than Spark keeps reports of, then the last one again, as after a crash before it was marked done."""
+    source, target, mark = (tmp_path / n for n in ("in", "out", "mark"))
+    spark.range(0, 315, 1, 105).write.parquet(str(source))
+
+    def load():
+        stream = incremental.new_files(spark, str(source), "id bigint", maxFilesPerTrigger="1")
+        return incremental.load_new_files(stream, str(target), str(mark))
+
+    assert load() == 315
+    batches = sorted(int(p.name.split("=")[1]) for p in target.glob("batch_id=*"))
+    assert len(batches) == 105
+    before = {p: p.stat().st_mtime_ns for p in target.rglob("*.parquet")}
+    for name in (str(batches[-1]), f".{batches[-1]}.crc"):
+        (mark / "commits" / name).unlink(missing_ok=True)
+    assert load() == 0
+    assert {p: p.stat().st_mtime_ns for p in target.rglob("*.parquet")} == before
+    out = spark.read.parquet(str(target))
+    assert sorted(r["id"] for r in out.collect()) == list(range(315))
+
+
+def test_an_interrupted_batch_is_replaced(spark, tmp_path):
+    target = str(tmp_path / "out")
+    spark.range(3).write.parquet(f"{target}/batch_id=4")
+    (tmp_path / "out" / "batch_id=4" / "_SUCCESS").unlink()
+    assert incremental.append_batch(spark.range(10, 15), target, 4) == 5
+    assert incremental.append_batch(spark.range(10, 15), target, 4) == 0
+    assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == [(i, 4) for i in range(10, 15)]
+
+
+def test_fields_of_changing_shape(spark):
+    from layerlake.functions import variants
+
+    texts = ['{"k": 1, "a": [{"b": "x"}]}', '{"k": "1"}', '{"k": null}', "{}", "{broken", "", None, "[1]", '{"k": 1.5}', '{"k": {"k": 2}}', "7"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, t string")
+    rows = variants.parsed(df, "t")
+    state = variants.field_state("t", "fields", "$.k", "BIGINT")
+    got = [r.s for r in rows.select("id", state.alias("s")).orderBy("id").collect()]
+    assert got == ["present", "wrong_type", "missing", "missing", "malformed", "malformed", "missing", "missing", "wrong_type", "wrong_type", "missing"]
+    first = rows.orderBy("id").select(variants.field("fields", "$.a[0].b", "string").alias("b"), variants.field("fields", "$.k", "bigint").alias("k")).first()
+    assert tuple(first) == ("x", 1)
+    good, bad = variants.split_malformed(df, "t")
+    assert sorted(r.id for r in bad.collect()) == [4, 5] and bad.columns == df.columns and good.count() == len(texts) - 2
+    assert "k: " in variants.observed_schema(rows.where("id IN (0, 3)"), "fields").first().observed
