@@ -1,16 +1,18 @@
 """Exact top-k by inner product with the threshold algorithm over sorted lists per dimension.
 
-Rows are dealt into blocks of bounded size. In each block every dimension has a
-list sorted by value; a query reads the lists from the end that its sign
-favours, all to the same depth. Every vector met is scored in full. What has not
-been met can score no more than the values at that depth would together; once
-the kth score is above that bound, reading stops. The depth doubles from round
-to round. Scores equal to the bound are read on for, so ties are settled.
+Rows are dealt into blocks of bounded size. A block's sorted lists run along its
+axes of largest variance; all queries of a lot read them together, from both
+ends and to the same depth. Every vector met is scored in full, for all queries
+that still read. What has not been met can score no more than the values at that
+depth would together, and the rest of the vector by its length; once a query's
+kth score is above that bound, it stops. The depth doubles from round to round,
+up to the end of the lists. Scores equal to the bound are read on for, so ties
+are settled.
 
 Vectors that are null, or hold a null or a value that is not finite, take no
 part, nor do empty ones or rows without an id. Vectors of
-different lengths do not meet. Scores
-are exact integers. Repeated rows are candidates each; a query row excludes
+different lengths do not meet. Scores are exact
+integers; scores and components that do not fit a long are the nearest long. Repeated rows are candidates each; a query row excludes
 rows with its own id. An empty table gives no rows.
 """
 
@@ -28,6 +30,8 @@ SCALE = 1024
 BLOCK = 16_384
 QUERIES = 2_048
 DEPTH = 64
+SHARE = 0.9
+LONG = 2**63 - 1
 
 
 def whole_vectors(vectors: DataFrame, scale: int = SCALE, id_col="vec_id", vec_col="embedding") -> DataFrame:
@@ -39,49 +43,98 @@ def whole_vectors(vectors: DataFrame, scale: int = SCALE, id_col="vec_id", vec_c
     return rows.select("vec_id", F.transform("x", lambda e: F.floor(e * scale).cast("long")).alias("v"))
 
 
-def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of rows of ``a`` with rows of ``b``."""
-    if a.size == 0 or b.size == 0:
-        return np.zeros((len(a), len(b)), np.int64)
-    most = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1]
-    if most < 2**53:  # exact in doubles
-        return (a.astype(np.float64) @ b.T.astype(np.float64)).astype(np.int64)
-    if most < 2**63:
-        return a @ b.T
-    raise OverflowError("inner products do not fit a long")
-
-
-def block_top(ids: np.ndarray, block: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """(query number, id, score) of the k best of a block for each query, ties to the smaller id."""
-    order = np.argsort(block, axis=0, kind="stable")  # one sorted list per dimension
-    n, dims = block.shape
-    out = []
-    for qi, q in enumerate(queries):
-        up = q > 0
-        depth, met = min(DEPTH, n), np.zeros(0, np.int64)
-        score = np.zeros(0, np.int64)
-        used = np.flatnonzero(q)
-        while True:
-            top, low = order[n - depth :][:, used], order[:depth][:, used]
-            new = np.unique(np.where(up[used][None, :], top, low)) if len(used) else np.arange(n)
-            new = np.setdiff1d(new, met, assume_unique=True)
-            met = np.concatenate((met, new))
-            score = np.concatenate((score, products(q[None, :], block[new])[0]))
-            real = ids[met] != query_ids[qi]
-            if depth >= n or not len(used):
-                met = np.arange(n)
-                score = products(q[None, :], block)[0]
-                real = ids != query_ids[qi]
-                break
-            edge = np.where(up[used], block[order[n - depth, used], used], block[order[depth - 1, used], used])
-            bound = int(products(q[None, used], edge[None, :])[0, 0])
-            if real.sum() >= k and np.partition(score[real], -k)[-k] > bound:
-                break
-            # beyond a quarter of a list nearly every row has been met: read to the end
-            depth = n if 4 * depth > n // 4 else 2 * depth
-        met, score = met[real], score[real]
-        best = np.lexsort((ids[met], -score))[:k]
-        out.append((np.full(len(best), qi), ids[met[best]], score[best]))
+class Exact:
+    """Rows made ready once for exact inner products: in doubles while those are exact, else in longs, else as integers."""
+
+    def __init__(self, rows: np.ndarray):
+        self.rows, self.most = rows, _largest(rows)
+        self.doubles = rows.astype(np.float64)
+
+    def scores(self, queries: np.ndarray, which) -> np.ndarray:
+        reach = _largest(queries) * self.most * self.rows.shape[1]
+        if reach < 2**53:
+            return (queries.astype(np.float64) @ self.doubles[which].T).astype(np.int64)
+        if reach < 2**63:
+            return queries @ self.rows[which].T
+        whole = queries.astype(object) @ self.rows[which].astype(object).T
+        return np.minimum(np.maximum(whole, -LONG - 1), LONG).astype(np.int64)
+
+
+def _largest(rows: np.ndarray) -> int:
+    return max(int(rows.max()), -int(rows.min())) if rows.size else 0
+
+
+class Lists:
+    """Sorted lists of a block of vectors, along the axes on which they differ most.
+
+    Inner products do not change under a rotation, so the lists may run along
+    any orthogonal axes; those of largest variance, as many as hold ``share`` of
+    it, come first and get a list each. What is left of a vector beyond them
+    counts with its length. Scores come from the whole vectors, exactly; only
+    the bound uses these doubles, with a little added for their rounding.
+    """
+
+    def __init__(self, block: np.ndarray, share: float = SHARE):
+        x = block.astype(np.float64)
+        spread, axes = np.linalg.eigh(x.T @ x)
+        spread, axes = np.maximum(spread[::-1], 0), axes[:, ::-1]
+        held = np.cumsum(spread) >= share * spread.sum()
+        self.axes = axes[:, : int(np.argmax(held)) + 1]
+        along = x @ self.axes
+        self.rest = float(np.sqrt(np.maximum((x * x).sum(1) - (along * along).sum(1), 0).max()))
+        self.length = float(np.sqrt((x * x).sum(1).max()))
+        self.order = np.argsort(along, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(along, self.order, axis=0)
+
+    def read(self, start: int, depth: int) -> np.ndarray:
+        """The rows at these depths from both ends of every list; an end that no query favours costs little."""
+        n = len(self.order)
+        return np.unique(np.concatenate((self.order[n - depth : n - start].ravel(), self.order[start:depth].ravel())))
+
+    def bounds(self, queries: np.ndarray, depth: int) -> np.ndarray:
+        """What a row not yet met can score at most, for each query."""
+        q = queries.astype(np.float64)
+        along, size = q @ self.axes, np.sqrt((q * q).sum(1))
+        rest = np.sqrt(np.maximum(size * size - (along * along).sum(1), 0))
+        top, low = self.sorted[len(self.sorted) - depth], self.sorted[depth - 1]
+        bound = np.maximum(along, 0) @ top + np.minimum(along, 0) @ low + rest * self.rest
+        return bound + 1e-9 * size * self.length + 1
+
+
+def block_top(ids: np.ndarray, block: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, stops: list | None = None):
+    """(query number, id, score) of the k best of a block for each query, ties to the smaller id.
+
+    ``stops``, if given, gets the depth at which each query stopped and how many rows had been met by then.
+    """
+    lists, exact, n = Lists(block), Exact(block), len(block)
+    active, met = np.arange(len(queries)), np.zeros(n, bool)
+    best: list[tuple] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(queries)  # (scores, ids) so far
+    depth, start = min(DEPTH, n), 0
+    while len(active):
+        new = lists.read(start, depth)
+        new = new[~met[new]]
+        met[new] = True
+        scores = exact.scores(queries[active], new)
+        bound = lists.bounds(queries[active], depth)
+        left = []
+        for row, qi in enumerate(active):
+            s, i = scores[row], ids[new]
+            own = i != query_ids[qi]
+            s, i = np.concatenate((best[qi][0], s[own])), np.concatenate((best[qi][1], i[own]))
+            if len(s) > k:  # what is below the kth score is out; ties with it stay
+                stay = s >= np.partition(s, -k)[-k]
+                s, i = s[stay], i[stay]
+                first = np.lexsort((i, ~s))[:k]
+                s, i = s[first], i[first]
+            best[qi] = s, i
+            if met.all() or (len(s) >= k and s.min() > bound[row]):
+                if stops is not None:
+                    stops.append((depth, int(met.sum())))
+            else:
+                left.append(qi)
+        active = np.array(left, np.int64)
+        start, depth = depth, min(2 * depth, n)
+    out = [(np.full(len(s), qi), i[o], s[o]) for qi, (s, i) in enumerate(best) for o in [np.lexsort((i, ~s))[:k]]]
     return tuple(map(np.concatenate, zip(*out, strict=True)))
 
 
