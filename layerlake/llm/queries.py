@@ -23,36 +23,52 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return pii.found(docs, pii.learned(docs))
 
 
+HOT = "http://www.hot.example.org/news/?b=2&a=1"
+
+
 def crawl(pages: DataFrame) -> DataFrame:
-    """Archive records made from ``pages``: a response of each page, and a later revisit under another spelling of its URL.
+    """Archive records made from ``pages``: three captures of each address, and a revisit after each of them.
 
-    Times and entity tags follow from the page. The tag of a revisit is missing,
-    weak, or an outdated one for some lengths of the page.
+    Every third page is also a capture of one hot address. The content changes
+    after the second capture; some captures are errors. Entity tags, times of
+    modification and digests are missing on some of either side, and weak, old
+    or of another capture on some revisits; which, follows from the page. A
+    revisit's URL has a tracking parameter more than the page's.
     """
-    page, at = F.col("page_id"), F.timestamp_seconds(F.lit(1_700_000_000) + 60 * F.col("page_id"))
-    tag, length = F.concat(F.lit('"'), F.md5("html"), F.lit('"')), F.char_length("html")
-    bare = F.regexp_replace("url", r"[?#].*$", "")
-    response = pages.select(
-        F.concat(F.lit("p"), page).alias("record_id"), "url", F.lit("response").alias("warc_type"), at.alias("ts"),
-        F.lit(200).alias("status"),
-        F.create_map(
-            F.lit("ETag"), tag, F.lit("Content-Type"), F.lit("text/html"), F.lit("Content-Length"), length.cast("string"),
-            F.lit("Cache-Control"), F.lit("max-age=60"),
+    page, k, n = F.col("page_id"), F.col("k"), F.col("n")
+    seen = pages.select("page_id", "url", F.char_length("html").alias("n"), F.md5("html").alias("d"))
+    hot = seen.where(page % 3 == 0).withColumn("url", F.lit(HOT)).withColumn("of", F.lit("h"))
+    seen = seen.withColumn("of", F.lit("u")).unionByName(hot).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    seen = seen.withColumn("state", F.md5(F.concat_ws(":", "d", "of", F.floor(k / 2))))
+    number = F.concat(page, F.col("of"), k)
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + 7 * page + 10_000 * k)
+    tag, modified = F.concat(F.lit('"'), F.col("state"), F.lit('"')), F.concat(F.lit("at "), F.col("state"))
+
+    def headers(**named):
+        both = [x for name, value in named.items() for x in (F.lit(name.replace("_", "-")), value)]
+        return F.map_filter(F.create_map(*both), lambda name, value: value.isNotNull())
+
+    response = seen.select(
+        F.concat(F.lit("p"), number).alias("record_id"), "url", F.lit("response").alias("warc_type"), at.alias("ts"),
+        F.when((page + k) % 11 == 0, 404).otherwise(200).alias("status"),
+        headers(
+            ETag=F.when(n % 4 != 1, tag), Last_Modified=F.when(n % 3 != 2, modified), Content_Type=F.lit("text/html"),
+            Content_Length=n.cast("string"), Cache_Control=F.lit("max-age=60"),
         ).alias("headers"),
-        F.md5("html").alias("digest"),
+        F.when(page % 7 != 3, F.col("state")).alias("digest"),
     )
-    seen = F.when(length % 5 == 0, F.lit(None)).when(length % 5 == 1, F.concat(F.lit("W/"), tag)).when(
-        length % 5 == 2, F.lit('"old"')).otherwise(tag)
-    revisit = pages.select(
-        F.concat(F.lit("r"), page).alias("record_id"), F.concat(bare, F.lit("?utm_source=check#seen")).alias("url"),
+    kind = (n + k) % 5
+    weak = F.when(kind == 1, F.concat(F.lit("W/"), tag)).when(kind == 2, F.lit('"old"')).when(kind != 0, tag)
+    bare = F.regexp_replace("url", r"#.*$", "")
+    revisit = seen.select(
+        F.concat(F.lit("r"), number).alias("record_id"),
+        F.concat(bare, F.when(bare.contains("?"), "&").otherwise("?"), F.lit("utm_source=check#seen")).alias("url"),
         F.lit("revisit").alias("warc_type"), (at + F.expr("INTERVAL 600 SECONDS")).alias("ts"), F.lit(304).alias("status"),
-        F.map_filter(
-            F.create_map(
-                F.lit("etag"), seen, F.lit("Content-Length"), F.lit("0"), F.lit("Cache-Control"),
-                F.concat(F.lit("max-age="), page.cast("string")),
-            ), lambda k, v: v.isNotNull(),
+        headers(
+            etag=weak, Last_Modified=F.when((n + k) % 3 == 0, modified).when((n + k) % 3 == 1, F.lit("at first")),
+            Content_Length=F.lit("0"), Cache_Control=F.concat(F.lit("max-age="), page),
         ).alias("headers"),
-        F.lit(None).cast("string").alias("digest"),
+        F.when((page + k) % 4 == 0, F.col("state")).when((page + k) % 4 == 1, F.lit("other")).alias("digest"),
     )
     return response.unionByName(revisit)
 

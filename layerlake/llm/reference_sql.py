@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import LEAST, LINE, TEMPLATES
+from .licenses import LEAST, TEMPLATES
 from .quality_rules import RULES, STOP_WORDS
 
 WS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
@@ -60,26 +60,36 @@ SELECT doc_id, len(words) AS n_words, len(ga) AS n_removed,
 FROM kept"""
 
 REVISITS = rf"""
-WITH p AS (SELECT page_id, url, html, length(html) AS n, md5(html) AS d, regexp_replace(url, '[?#].*$', '') AS bare FROM pages),
-c AS (SELECT *, regexp_replace(regexp_replace(bare, '^[a-z]+://(www\.)?', ''), '/+$', '') AS u_bare,
+WITH p AS (SELECT page_id, url, length(html) AS n, md5(html) AS d, 'u' AS of FROM pages),
+a AS (SELECT * FROM p UNION ALL
+      SELECT page_id, 'http://www.hot.example.org/news/?b=2&a=1', n, d, 'h' FROM p WHERE page_id % 3 = 0),
+c AS (SELECT page_id, n, of, k, md5(concat_ws(':', d, of, k // 2)) AS state, 7 * page_id + 10000 * k AS ts,
+             regexp_replace(regexp_replace(regexp_replace(url, '[?#].*$', ''), '^[a-z]+://(www\.)?', ''), '/+$', '') AS bare,
              list_sort(list_filter(string_split(regexp_extract(regexp_replace(url, '#.*$', ''), '\?(.*)$', 1), '&'),
-                                   lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref)='))) AS q FROM p),
-resp AS (SELECT page_id, u_bare || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS u,
-                60 * page_id AS ts, n, d FROM c),
-rev AS (SELECT page_id, u_bare AS u, 60 * page_id + 600 AS ts,
-               CASE n % 5 WHEN 0 THEN NULL WHEN 2 THEN 'old' ELSE d END AS tag,
-               CASE n % 5 WHEN 0 THEN NULL WHEN 1 THEN 'W/"' || d || '"' WHEN 2 THEN '"old"' ELSE '"' || d || '"' END AS raw FROM c),
-m AS (SELECT rev.*, resp.page_id AS rp, resp.d, resp.n FROM rev LEFT JOIN resp ON rev.u = resp.u AND resp.ts < rev.ts
-      QUALIFY row_number() OVER (PARTITION BY rev.page_id ORDER BY resp.ts DESC NULLS LAST, 'p' || resp.page_id DESC) = 1),
-o AS (SELECT *, CASE WHEN rp IS NULL THEN 'no_response' WHEN tag IS NULL THEN 'unvalidated'
-                     WHEN tag = d THEN 'resolved' ELSE 'mismatch' END AS outcome FROM m)
-SELECT 'r' || page_id AS record_id, u AS canonical_url, outcome, 'p' || rp AS refers_to,
-       CASE WHEN outcome IN ('resolved', 'unvalidated') THEN d END AS digest,
-       CASE WHEN outcome IN ('resolved', 'unvalidated') THEN
-           'cache-control=max-age=' || page_id || ';content-length=' || n || ';content-type=text/html;etag=' || coalesce(raw, '"' || d || '"')
-       ELSE 'cache-control=max-age=' || page_id || ';content-length=0' || CASE WHEN raw IS NULL THEN '' ELSE ';etag=' || raw END END AS headers,
-       1700000000 + ts AS "at"
-FROM o"""
+                                   lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref)='))) AS q
+      FROM a, (VALUES (0), (1), (2)) AS ks(k)),
+u AS (SELECT *, bare || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS u FROM c),
+resp AS (SELECT u, ts, 'p' || page_id || of || k AS id, n, CASE WHEN n % 4 <> 1 THEN '"' || state || '"' END AS tag,
+                CASE WHEN n % 3 <> 2 THEN 'at ' || state END AS modified, CASE WHEN page_id % 7 <> 3 THEN state END AS digest
+         FROM u WHERE (page_id + k) % 11 <> 0),
+rev AS (SELECT u, ts + 600 AS ts, 'r' || page_id || of || k AS id, page_id,
+               CASE (n + k) % 5 WHEN 0 THEN NULL WHEN 1 THEN 'W/"' || state || '"' WHEN 2 THEN '"old"' ELSE '"' || state || '"' END AS tag,
+               CASE (n + k) % 3 WHEN 0 THEN 'at ' || state WHEN 1 THEN 'at first' END AS modified,
+               CASE (page_id + k) % 4 WHEN 0 THEN state WHEN 1 THEN 'other' END AS digest FROM u),
+m AS (SELECT rev.*, resp.id AS rid, resp.n, resp.tag AS rtag, resp.modified AS rmodified, resp.digest AS rdigest
+      FROM rev LEFT JOIN resp ON rev.u = resp.u AND resp.ts < rev.ts
+      QUALIFY row_number() OVER (PARTITION BY rev.id ORDER BY resp.ts DESC NULLS LAST, resp.id DESC) = 1),
+v AS (SELECT *, coalesce(regexp_replace(tag, '^W/', '') = rtag, modified = rmodified) AS by_validator, digest = rdigest AS by_digest FROM m),
+o AS (SELECT *, CASE WHEN rid IS NULL THEN 'no_response' WHEN by_validator IS NULL AND by_digest IS NULL THEN 'unvalidated'
+                     WHEN coalesce(by_validator, true) AND coalesce(by_digest, true) THEN 'resolved' ELSE 'mismatch' END AS outcome FROM v),
+t AS (SELECT *, outcome IN ('resolved', 'unvalidated') AS taken FROM o),
+h AS (SELECT *, CASE WHEN taken THEN coalesce(tag, rtag) ELSE tag END AS etag,
+             CASE WHEN taken THEN coalesce(modified, rmodified) ELSE modified END AS last FROM t)
+SELECT id AS record_id, u AS canonical_url, outcome, rid AS refers_to,
+       CASE WHEN taken THEN coalesce(rdigest, digest) END AS digest,
+       'cache-control=max-age=' || page_id || CASE WHEN taken THEN ';content-length=' || n || ';content-type=text/html' ELSE ';content-length=0' END
+       || coalesce(';etag=' || etag, '') || coalesce(';last-modified=' || last, '') AS headers, 1700000000 + ts AS "at"
+FROM h"""
 
 _TERMS = r"list_filter(regexp_split_to_array(regexp_replace({} || ' ', '[+.-]+([^a-z0-9+.-])', '\1', 'g'), '[^a-z0-9+.-]+'), lambda x: x <> '')"
 _MODELS = ", ".join(f"({i}, {_names([name, text])})" for i, (name, text) in enumerate(TEMPLATES))
@@ -88,9 +98,12 @@ LICENSES = f"""
 WITH f AS (SELECT doc_id, row_number() OVER () AS r, source || '/o' || (doc_id // 64)
                   || CASE WHEN doc_id % 64 = 0 THEN '' ELSE '/i' || (doc_id // 8) END AS folder,
                   CASE WHEN doc_id % 8 = 0 THEN 'LICENSE' ELSE 'f' || doc_id || '.txt' END AS name,
-                  array_to_string(list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{LINE}')), chr(10)) AS notice
+                  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: NOT regexp_full_match(x, '[ \\t\\r]*')) AS lines
            FROM documents),
-nt AS (SELECT DISTINCT notice FROM f WHERE notice <> ''),
+st AS (SELECT r, lines, i FROM f, unnest(range(1, len(lines) + 1)) AS u(i)
+       WHERE regexp_matches(lines[i], '(licen[cs]|copyright|copyleft|permission|redistribut|warrant|spdx|creative commons|public domain)', 'i')),
+ps AS (SELECT DISTINCT r, array_to_string(lines[i : i + n - 1], chr(10)) AS notice FROM st, (VALUES (1), (2), (4), (8), (16), (32)) AS s(n)),
+nt AS (SELECT DISTINCT notice FROM ps),
 words AS (SELECT notice, term, count(*) AS tf FROM (SELECT notice, unnest({_TERMS.format('lower(notice)')}) AS term FROM nt) GROUP BY ALL),
 n AS (SELECT count(*) AS n FROM nt),
 df AS (SELECT term, ln((1.0 + any_value(n.n)) / (1.0 + count(*))) + 1 AS idf FROM words, n GROUP BY term),
@@ -103,9 +116,12 @@ v AS (SELECT notice, term, tf * idf AS w FROM words JOIN df USING (term)),
 len AS (SELECT notice, sqrt(sum(w * w)) AS size FROM v GROUP BY notice),
 cos AS (SELECT notice, license, model, round(sum(w * m) / any_value(size), 6) AS cosine
         FROM v JOIN mn USING (term) JOIN len USING (notice) GROUP BY ALL),
-best AS (SELECT notice, license AS own_license, cosine AS own_cosine FROM cos WHERE cosine >= {LEAST}
-         QUALIFY row_number() OVER (PARTITION BY notice ORDER BY cosine DESC, license) = 1),
-own AS (SELECT f.doc_id, f.r, folder || '/' || name AS path, folder, name, own_license, own_cosine FROM f LEFT JOIN best USING (notice)),
+best AS (SELECT notice, license AS own_license, cosine AS own_cosine FROM cos WHERE cosine >= {LEAST}),
+first AS (SELECT r, CASE WHEN own_license = 'BSD-2-Clause'
+                          AND regexp_matches(array_to_string(lines, chr(10)), 'neither\\s+the\\s+names?\\s+of', 'i') THEN 'BSD-3-Clause'
+                          ELSE own_license END AS own_license, own_cosine FROM ps JOIN f USING (r) JOIN best USING (notice)
+          QUALIFY row_number() OVER (PARTITION BY r ORDER BY own_cosine DESC, best.own_license) = 1),
+own AS (SELECT f.doc_id, f.r, folder || '/' || name AS path, folder, name, own_license, own_cosine FROM f LEFT JOIN first USING (r)),
 held AS (SELECT folder AS above, own_license AS given FROM own WHERE name = 'LICENSE' AND own_license IS NOT NULL
          QUALIFY row_number() OVER (PARTITION BY folder ORDER BY own_cosine DESC, own_license) = 1),
 near AS (SELECT own.*, above, given FROM own LEFT JOIN held ON folder = above OR starts_with(folder, above || '/')
