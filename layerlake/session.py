@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,14 +52,40 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_recording: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def intermediate(spark: SparkSession) -> Iterator[list[str]]:
+    """Folders of tables stored inside, in order; they are deleted at the end, but for those taken off the list.
+
+    For work whose result is itself stored inside: nothing reads the others any more.
+    """
+    made: list[str] = []
+    _recording.append(made)
+    try:
+        yield made
+    finally:
+        _recording.pop()
+        drop(spark, made)
+
+
+def drop(spark: SparkSession, folders: Iterable[str]) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once, as Parquet in the shared checkpoint folder, and continue from that copy.
 
     Used where several branches must see the very same rows in the very same
     partitions, or would repeat costly work. The stored copy survives the loss
     of executors; a cached one would not. The folder belongs to the application
-    and can be removed when it ends.
+    and can be removed when it ends, or by ``intermediate``.
     """
     path = f"{ensure_checkpoint_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    for made in _recording:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -189,3 +189,18 @@ def test_fields_of_changing_shape(spark):
     good, bad = variants.split_malformed(df, "t")
     assert sorted(r.id for r in bad.collect()) == [4, 5] and bad.columns == df.columns and good.count() == len(texts) - 2
     assert "k: " in variants.observed_schema(rows.where("id IN (0, 3)"), "fields").first().observed
+
+
+def test_intermediate_tables_are_dropped(spark):
+    from pathlib import Path
+
+    from layerlake.session import intermediate, materialize
+
+    with intermediate(spark) as made:
+        one = materialize(spark.range(5))
+        two = materialize(one.where("id > 2"))
+        kept = made.pop()
+        first = list(made)
+    assert two.count() == 2 and Path(kept.removeprefix("file:")).is_dir()
+    assert len(first) == 1 and not Path(first[0].removeprefix("file:")).exists()
+    assert materialize(spark.range(3)).count() == 3  # nothing is recorded outside
