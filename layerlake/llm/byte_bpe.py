@@ -24,7 +24,7 @@ from .common import arrow_map, id_text
 from .vocab import Memo, byte_letters, ranks, splitter, units
 
 FILE = "byte_bpe_multi_50k.tiktoken"
-MEMORY = 600_000
+MEMORY = 14_000_000  # characters and overhead of remembered pieces
 
 
 def _varint(n: int) -> bytes:

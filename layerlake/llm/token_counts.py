@@ -10,6 +10,10 @@ of a prefix ends in the longest token t for which the encoding of the rest ends
 in a token that t may follow, and count[i] = count[i - len(t)] + 1. The table is
 made once per distinct piece of text and kept in a bounded memory.
 
+A prefix that ends in white space has the whole run before its end in one piece,
+so one table for a run serves all its prefixes, however long it is. Long pieces
+and long words are not remembered.
+
 Null text counts as empty: no tokens. Rows are handled alone, so repeated rows
 and an empty table need no care.
 """
@@ -20,6 +24,7 @@ import functools
 import json
 import re
 from array import array
+from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -27,11 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, id_text
-from .vocab import Memo, byte_letters, splitter, units, unreached
+from .vocab import OVERHEAD, Memo, byte_letters, splitter, units, unreached
 
 FILE = "byte_bpe_50k.json"
 LIMIT = 512
-MEMORY = 1_000_000
+MEMORY = 24_000_000  # characters and overhead of remembered pieces
+#: What the pattern takes for white space, and the pieces whose prefixes are split in another way.
+SPACE = re.compile("[\\t-\\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+").fullmatch
+CONTRACTION = re.compile("'(?:[sdmt]|ll|ve|re)").fullmatch
 #: A space or none, Latin letters, and ASCII marks other than an apostrophe: two pieces at most.
 WORD = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@[-`{-~]*)").fullmatch
 
@@ -55,11 +63,14 @@ class PrefixCounter:
         order = {"".join(m): k for k, m in enumerate(tuple(x) if isinstance(x, list) else x.split(" ") for x in model["merges"])}
         merge = {bytes(byte[c] for c in t): 256 + k for t, k in order.items() if t in vocab} | {bytes([b]): b for b in range(256)}
         self.special = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
-        self.longest = max(map(len, raw))
+        lengths = defaultdict(set)
+        for t in raw:
+            lengths[t[-2:]].add(len(t))
+        self.lengths = {end: sorted(n, reverse=True) for end, n in lengths.items()}
         self.core = tiktoken.Encoding("merges", pat_str=public_tokenizers.PATTERN, mergeable_ranks=merge, special_tokens={})._core_bpe
         self.token = {t: merge[t] for t in raw}
         self.text_of = {i: t for t, i in self.token.items()}
-        self.follows = Memo(self._follows, 2_000_000)
+        self.follows = Memo(self._follows, 2_000_000 * (OVERHEAD + 2))
         self.pieces = splitter(public_tokenizers.PATTERN)
         self.table = Memo(self._piece, MEMORY)
         self.unit = Memo(self._unit, MEMORY)
@@ -71,14 +82,19 @@ class PrefixCounter:
     def _piece(self, piece: str) -> bytes | list[int]:
         """Counts after each character of one piece; between characters' bytes the table goes on inside."""
         data = piece.encode()
-        n, token, follows, longest = len(data), self.token.get, self.follows, self.longest
+        n, token, follows, lengths = len(data), self.token.get, self.follows, self.lengths
         last, count = [-1] * (n + 1), [0] * (n + 1)
         for i in range(1, n + 1):
-            for j in range(i - longest if i > longest else 0, i):
+            for size in lengths.get(data[i - 2 : i], ()) if i > 1 else ():
+                j = i - size
+                if j < 0:
+                    continue
                 t = token(data[j:i])
                 if t is not None and (not j or follows[last[j], t]):
                     last[i], count[i] = t, count[j] + 1
                     break
+            else:  # every byte is a token
+                last[i], count[i] = token(data[i - 1 : i]), count[i - 1] + 1
         if n != len(piece):
             count = [0, *(count[i] for i in range(1, n + 1) if i == n or data[i] & 0xC0 != 0x80)]
         return bytes(count[1:]) if n < 256 else count[1:]
@@ -91,15 +107,26 @@ class PrefixCounter:
             if m[2]:
                 out += [out[-1] + c for c in self.table[m[2]]]
             return array("i", map(int.__sub__, out, [0, *out])).tobytes()
-        out, done, at = [], 0, 0
+        out, done, run, before_run = [], 0, "", 0
         for piece in self.pieces(unit):
-            if piece.isspace() or piece[0] == "'":  # a prefix that ends here may be split in another way
-                ends = range(at + 1, at + len(piece) + 1)
-                out += [sum(self.table[p][-1] for p in self.pieces(unit[:e])) for e in ends]
+            counts = self.table[piece]
+            if SPACE(piece):
+                if not run:
+                    before_run = done
+                run += piece
             else:
-                out += [done + c for c in self.table[piece]]
+                shown = 0
+                if run:  # a prefix that ends in white space has it in one piece, up to the space that begins this one
+                    shown = piece[0] == " "
+                    out += [before_run + c for c in self.table[run + " " * shown]]
+                    run = ""
+                if CONTRACTION(piece):  # a prefix of it is an apostrophe and letters
+                    mark = self.table["'"][0]
+                    counts = [mark, *(mark + c for c in self.table[piece[1:]])][: len(piece) - 1] + [counts[-1]]
+                out += [done + c for c in counts[shown:]]
             done += self.table[piece][-1]
-            at += len(piece)
+        if run:
+            out += [before_run + c for c in self.table[run]]
         return array("i", map(int.__sub__, out, [0, *out])).tobytes()
 
     def _plain(self, text: str) -> np.ndarray:

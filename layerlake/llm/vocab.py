@@ -57,17 +57,34 @@ def splitter(pattern: str):
     return lambda text: plain(text) if LATIN(text) else [p for p, _ in exact.pre_tokenize_str(text)]
 
 
+#: Longer keys are not remembered: they seldom come again.
+LONGEST = 256
+#: What a key and its value take besides their characters.
+OVERHEAD = 16
+
+
 class Memo(dict):
-    """Remembers what ``make`` gave for a key; starts anew when full, so memory is bounded."""
+    """Remembers what ``make`` gave for a key.
+
+    Keys of more than ``LONGEST`` characters are made anew each time. Once the
+    keys held have ``most`` characters in all, ``OVERHEAD`` more counted for
+    each, it starts anew; values are no larger than a multiple of their keys,
+    so memory is bounded whatever the texts are.
+    """
 
     def __init__(self, make, most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.held = make, most, 0
 
     def __missing__(self, key):
-        if len(self) >= self.most:
-            self.clear()
-        value = self[key] = self.make(key)
+        value = self.make(key)
+        size = len(key)
+        if size <= LONGEST:
+            self.held += size + OVERHEAD
+            if self.held > self.most:
+                self.clear()
+                self.held = size + OVERHEAD
+            self[key] = value
         return value
 
 
