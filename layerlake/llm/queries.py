@@ -10,7 +10,7 @@ from . import (
     byte_bpe, divergence, fill_middle, licenses, packing, pii, quality_rules, repeats, revisits, simhash, token_counts,
     topk, url_rules,
 )
-from .common import read
+from .common import read, stored
 from .reference_sql import DIVERGENCE, FILL_MIDDLE, LICENSES, QUALITY, REPEATS, REVISITS, TOP_K, URL_RULES
 
 
@@ -36,7 +36,7 @@ def crawl(pages: DataFrame) -> DataFrame:
     revisit's URL has a tracking parameter more than the page's.
     """
     page, k, n = F.col("page_id"), F.col("k"), F.col("n")
-    seen = pages.select("page_id", "url", F.char_length("html").alias("n"), F.md5("html").alias("d"))
+    seen = stored(pages.select("page_id", "url", F.char_length("html").alias("n"), F.md5("html").alias("d")))  # pages are read once
     hot = seen.where(page % 3 == 0).withColumn("url", F.lit(HOT)).withColumn("of", F.lit("h"))
     seen = seen.withColumn("of", F.lit("u")).unionByName(hot).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(2))))
     seen = seen.withColumn("state", F.md5(F.concat_ws(":", "d", "of", F.floor(k / 2))))
