@@ -29,6 +29,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,6 +42,7 @@ TOP = 50
 SCALE = 1_000_000_000
 ADD = 5
 ENTRIES = 400_000  # distinct chunks a task holds before it hands them on
+BYTES = 1 << 26
 BITS = 1 << 25
 BUCKET = 32_768  # bits of one of Spark's bitmaps
 BLOCK = 20_000  # rows of a block of terms
@@ -53,23 +55,26 @@ def grouped_texts(docs: DataFrame, text_col: str, lang_col: str, source_col: str
 
 
 def chunk_counts(docs: DataFrame, text_col="text", lang_col="lang", source_col="source") -> DataFrame:
-    """lang, source, chunk, n (occurrences) and docs; each group also has a row with a null chunk and its documents."""
+    """lang, source, chunk, n (occurrences) and docs, stored; a chunk may have several rows of a group, to be added up.
+
+    Documents are dealt by group first, large groups over several tasks, so that
+    a task has few groups and most of a group's counts are added up in it.
+    """
 
     def make():
         def flushed(occurrences, documents):
             for (lang, source), counts in documents.items():
                 seen = occurrences[lang, source]
                 chunks = list(counts)
-                n, size = [seen[c] for c in chunks], len(chunks)
-                yield [lang] * size, [source] * size, chunks, n, list(counts.values())
+                n, size = list(map(seen.__getitem__, chunks)), len(chunks)
+                yield pa.repeat(lang, size), pa.repeat(source, size), chunks, n, list(counts.values())
 
         def work(langs, sources, texts):
-            occurrences, documents, rows = defaultdict(Counter), defaultdict(Counter), Counter()
+            occurrences, documents = defaultdict(Counter), defaultdict(Counter)
             entries = 0
             for lang, source, text in zip(langs.to_pylist(), sources.to_pylist(), texts, strict=True):
                 words = text.as_py().split()  # of bytes: at ASCII white space
                 group = lang, source
-                rows[group] += 1
                 if words:
                     before = len(documents[group])
                     occurrences[group].update(words)
@@ -80,15 +85,31 @@ def chunk_counts(docs: DataFrame, text_col="text", lang_col="lang", source_col="
                         occurrences.clear(), documents.clear()
                         entries = 0
             yield from flushed(occurrences, documents)
-            size = len(rows)
-            yield [g[0] for g in rows], [g[1] for g in rows], [None] * size, [0] * size, list(rows.values())
 
         return work
 
     texts = grouped_texts(docs, text_col, lang_col, source_col).withColumn("text", F.col("text").cast("binary"))
+    texts = texts.withColumn("row", F.monotonically_increasing_id()).repartitionByRange("lang", "source", "row").drop("row")
     found = arrow_map(texts, make, "lang string, source string, chunk binary, n long, docs long")
-    found = found.withColumn("chunk", F.col("chunk").cast("string"))
-    return found.groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return stored(found.withColumn("chunk", F.col("chunk").cast("string")))
+
+
+def chunk_terms(counts: DataFrame) -> DataFrame:
+    """chunk and term, stored: each chunk that occurs anywhere is cut once."""
+    return stored(counts.select("chunk").distinct().select("chunk", F.explode(terms_of(F.col("chunk"))).alias("term")))
+
+
+def term_stats(counts: DataFrame, cut: DataFrame) -> DataFrame:
+    """lang, source, term, n (occurrences) and bounds for the documents that hold the term, stored.
+
+    The terms are joined back to the counts of their chunks. A source has at
+    least as many documents with a term as with the commonest chunk of it; of
+    two chunks no two documents need be the same, so at most as many as with all.
+    """
+    whole = counts.repartition("chunk").groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    pieces = whole.join(cut.hint("shuffle_hash"), "chunk")  # a chunk's rows are in one task already
+    stats = pieces.groupBy("lang", "source", "term")
+    return stored(stats.agg(F.sum("n").alias("n"), F.max("docs").alias("low"), F.sum("docs").alias("high")))
 
 
 def terms_of(chunk: Column) -> Column:
@@ -111,39 +132,51 @@ def document_counts(docs: DataFrame, chunks: DataFrame, text_col="text", lang_co
     bits = docs.sparkSession.sparkContext.broadcast(bitmap(chunks.select("chunk").distinct()).tobytes())
 
     def make():
-        set_bits, digest = bits.value, xxhash.xxh64_intdigest
+        set_bits, digest, tested, wanted = bits.value, xxhash.xxh64_intdigest, set(), set()
 
         def work(rows, langs, texts):
-            out = []
+            row_of, lang_of, held, size = [], [], [], 0
+            tested.clear(), wanted.clear()
             for row, lang, text in zip(rows.to_pylist(), langs.to_pylist(), texts, strict=True):
-                for chunk in set(text.as_py().split()):
+                text = text.as_py()
+                words = set(text.split())
+                for chunk in words - tested:
                     at = digest(chunk, 42) % BITS
                     if set_bits[at >> 3] >> (at & 7) & 1:
-                        out.append((row, lang, chunk))
-                if len(out) > ENTRIES:
-                    yield list(map(list, zip(*out, strict=True)))
-                    out = []
-            if out:
-                yield list(map(list, zip(*out, strict=True)))
+                        wanted.add(chunk)
+                tested.update(words)
+                size += len(text)
+                here = words & wanted
+                held += here
+                row_of += [row] * len(here)
+                lang_of += [lang] * len(here)
+                if len(tested) > ENTRIES or size > BYTES:  # so much is remembered at a time
+                    tested.clear(), wanted.clear()
+                    size = 0
+                if len(held) > ENTRIES:
+                    yield row_of, lang_of, held
+                    row_of, lang_of, held = [], [], []
+            if held:
+                yield row_of, lang_of, held
 
         return work
 
     texts = grouped_texts(docs, text_col, lang_col, source_col)
     texts = texts.select(F.monotonically_increasing_id().alias("row"), "lang", F.col("text").cast("binary"))
     held = arrow_map(texts, make, "row long, lang string, chunk binary").withColumn("chunk", F.col("chunk").cast("string"))
-    held = held.join(chunks, ["lang", "chunk"]).select("lang", "term", "row").distinct()
+    held = held.join(chunks.hint("shuffle_hash"), ["lang", "chunk"]).select("lang", "term", "row").distinct()
     return held.groupBy("lang", "term").agg(F.count("*").alias("docs"))
 
 
-def kept_terms(docs: DataFrame, pieces: DataFrame, stats: DataFrame, least: int, **columns) -> DataFrame:
+def kept_terms(docs: DataFrame, cut: DataFrame, stats: DataFrame, least: int, **columns) -> DataFrame:
     """lang and term of the terms in at least ``least`` documents of the language."""
     bounds = stats.groupBy("lang", "term").agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
     bounds = stored(bounds.where(F.col("high") >= least))
     sure = bounds.where(F.col("low") >= least).select("lang", "term")
     between = bounds.where(F.col("low") < least).select("lang", "term")
-    chunks = stored(pieces.join(between, ["lang", "term"], "left_semi").select("lang", "chunk", "term").distinct())
+    chunks = stored(cut.join(between, "term").select("lang", "chunk", "term").distinct())
     if chunks.isEmpty():
-        return sure
+        return stored(sure)
     exact = document_counts(docs, chunks, **columns)
     return stored(sure.unionByName(exact.where(F.col("docs") >= least).select("lang", "term")))
 
@@ -200,18 +233,15 @@ def audit(
     ``top`` terms that the source uses more than its language, by p - q.
     """
     columns = {"text_col": text_col, "lang_col": lang_col, "source_col": source_col}
-    counts = stored(chunk_counts(docs, **columns))
-    cut = counts.where("chunk IS NOT NULL").select("chunk").distinct().select("chunk", F.explode(terms_of(F.col("chunk"))).alias("term"))
-    pieces = stored(counts.where("n > 0").join(cut, "chunk"))
-    # a document holds a term as surely as the commonest chunk of it; of one source's chunks no two need be in one document
-    stats = pieces.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.max("docs").alias("low"), F.sum("docs").alias("high"))
-    stats = stored(stats)
-    kept = kept_terms(docs, pieces, stats, least, **columns)
+    counts = chunk_counts(docs, **columns)
+    cut = chunk_terms(counts)
+    stats = term_stats(counts, cut)
+    kept = kept_terms(docs, cut, stats, least, **columns)
     used = stored(stats.join(kept, ["lang", "term"], "left_semi").select("lang", "source", "term", "n"))
     sizes = used.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     v = used.groupBy("lang", "term").agg(F.sum("n").alias("n_lang"))
     v = stored(v)
-    groups = counts.select("lang", "source").distinct().join(sizes, ["lang", "source"], "left")
+    groups = grouped_texts(docs, **columns).select("lang", "source").distinct().join(sizes, ["lang", "source"], "left")
     groups = groups.join(v.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n_lang").alias("total_lang")), "lang", "left")
     groups = stored(groups.na.fill(0, ["total", "v", "total_lang"]))
     shares = used.join(groups.select("lang", "source", "total", "v", "total_lang"), ["lang", "source"])
