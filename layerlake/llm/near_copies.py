@@ -1,17 +1,21 @@
 """Groups of documents whose sets of word shingles have a Jaccard similarity of at least ``LEAST``.
 
-A set is a node, so copies make no pairs. ``BANDS`` bands of ``ROWS`` minima of
-random orders of the shingles propose candidates: sets of similarity s share a
-band with probability 1 - (1 - s^ROWS)^BANDS, 0.99993 at 0.8 and more above it.
-Every link rests on the exact similarity of the two sets, computed from their
-texts. Shingles are compared by 64-bit hashes.
-
-First each set is compared with the smallest one of each of its bands. Sets of
-bands that still hold several components afterwards are compared across
-components, but only those pairs that have one of their rarest common shingles
-in common: any two sets that are alike do, sets that merely share bands seldom
-(``across``). So no band and no group of near copies is paired with itself.
-Nothing is capped.
+A set is a node, so copies make no pairs. Every set has ``PRINTS`` SimHash
+fingerprints. Those within ``MOST`` bits of each other are found as ``simhash``
+finds them, by parts of correlated bits with thresholds of their own; each link
+rests on the exact similarity of the two sets, computed from their texts.
+Shingles are compared by 64-bit hashes.
+
+At similarity 0.8 two sets differ in ten of 64 bits on average, beyond the reach
+of any search by parts, so a complete search follows among sets that are still
+apart. ``BANDS`` bands of ``ROWS`` minima of random orders of the shingles show
+where: sets of similarity s share a band with probability
+1 - (1 - s^ROWS)^BANDS, 0.99993 at 0.8 and more above it. Each set is compared
+with the smallest one of each of its bands. Sets of bands that still hold
+several components afterwards are compared across components, but only those
+pairs that have one of their rarest common shingles in common: any two sets that
+are alike do, sets that merely share bands seldom (``across``). So no band is
+paired with itself. Nothing is capped.
 
 Null and empty texts, and texts of white space alone, have the empty set and are
 one group. A text of fewer words than a shingle has is one shingle. An empty
@@ -29,14 +33,17 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import simhash
 from .common import arrow_map, free_name, stored
 from .graph import components
 
 SHINGLE = 5
 LEAST = (4, 5)  # 0.8, as a fraction, so that the comparison is exact
+PRINTS = 4
+MOST = 4
 BANDS = 24
 ROWS = 5
 SEED = 42
@@ -101,8 +108,8 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.md5(text)).alias("t"))
 
 
-def sets(rows: DataFrame, size: int) -> DataFrame:
-    """node, n (shingles), keys (of the bands) and the first row's doc_id and t of each distinct set."""
+def sets(rows: DataFrame, size: int, bands: int) -> DataFrame:
+    """node, n (shingles), prints, keys (of the bands) and the first row's doc_id and t of each distinct set."""
 
     def make():
         def work(ids, texts, t):
@@ -110,18 +117,43 @@ def sets(rows: DataFrame, size: int) -> DataFrame:
                 rows = []
                 for text in texts.slice(at, BATCH):  # one set at a time in memory
                     h = shingles(text.as_py(), size)
-                    rows.append((xxhash.xxh3_128_digest(h.tobytes()), len(h), band_keys(h)))
+                    prints = [simhash.of_hashes(simhash.remixed(h, i)) for i in range(PRINTS)]
+                    rows.append((xxhash.xxh3_128_digest(h.tobytes()), len(h), np.array(prints, np.uint64).view(np.int64), band_keys(h, bands)))
                 yield ids.slice(at, BATCH), t.slice(at, BATCH), *map(list, zip(*rows, strict=True))
             released()
 
         return work
 
-    found = arrow_map(rows.select("doc_id", "text", "t"), make, "doc_id long, t binary, k binary, n long, keys array<long>")
+    schema = "doc_id long, t binary, k binary, n long, prints array<long>, keys array<long>"
+    found = arrow_map(rows.select("doc_id", "text", "t"), make, schema)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "t")).alias("first")
-    nodes = found.groupBy("k").agg(first, F.first("n").alias("n"), F.first("keys").alias("keys"))
+    nodes = found.groupBy("k").agg(first, *[F.first(c).alias(c) for c in ("n", "prints", "keys")])
     return stored(nodes.withColumn("node", F.monotonically_increasing_id()).drop("k"))
 
 
+def near_sizes(m: Column, n: Column, least: tuple[int, int]) -> Column:
+    """Whether sets of these sizes can be similar enough."""
+    return F.least(m, n) * least[1] >= F.greatest(m, n) * least[0]
+
+
+def close_prints(nodes: DataFrame, least: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) of sets, a < b, that have a fingerprint within ``MOST`` bits of the other's.
+
+    Sets with the same fingerprint are compared with the smallest one of them,
+    and these with each other.
+    """
+    found = []
+    for i in range(PRINTS):
+        own = nodes.where("n > 0").select("node", "n", F.get("prints", F.lit(i)).alias("fp"))
+        first = stored(own.groupBy("fp").agg(F.min(F.struct("node", "n")).alias("low")))
+        found.append(own.join(first, "fp").select("low", F.struct("node", "n").alias("other")))
+        x, y = (first.select(F.col("fp").alias(c), F.col("low").alias(n)) for c, n in (("a", "low"), ("b", "other")))
+        found.append(simhash.links(first.select("fp"), MOST).join(x, "a").join(y, "b").select("low", "other"))
+    pairs = functools.reduce(DataFrame.unionByName, found)
+    pairs = pairs.where((F.col("low.node") != F.col("other.node")) & near_sizes(F.col("low.n"), F.col("other.n"), least))
+    return stored(pairs.select(F.least("low.node", "other.node").alias("a"), F.greatest("low.node", "other.node").alias("b")).distinct())
+
+
 def compressed(rows: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and the compressed text of its first row."""
     want = nodes.select("node", F.col("first.doc_id").alias("i"), F.col("first.t").alias("q"))
@@ -212,26 +244,43 @@ def across(apart: DataFrame, texts: DataFrame, size: int, least: tuple[int, int]
     return found.select(F.least("node1", "node2").alias("a"), F.greatest("node1", "node2").alias("b")).distinct()
 
 
-def groups(docs: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST, id_col="doc_id", text_col="text") -> DataFrame:
-    """node, root, and the first row (without: no id, doc_id, t) of each distinct set; equal roots are one group."""
+def still_open(keys: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """key, node, n, root of every set of a band; key and lowest set (node, n, root) of bands with several components."""
+    of = keys.select("key", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    of = stored(of)
+    both = of.groupBy("key").agg(F.min(F.struct("node", "n", "root")).alias("low"), F.min("root").alias("a"), F.max("root").alias("b"))
+    return of, both.where("a < b").select("key", "low")
+
+
+def groups(
+    docs: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST, id_col="doc_id", text_col="text", bands: int = BANDS,
+) -> DataFrame:
+    """node, root, and the first row (without: no id, doc_id, t) of each distinct set; equal roots are one group.
+
+    Without ``bands`` only fingerprints find links.
+    """
     rows = keyed(docs, id_col, text_col)
-    nodes = sets(rows, size)
-    bands = nodes.select("node", "n", F.explode("keys").alias("key"))
-    shared = bands.groupBy("key").agg(F.min(F.struct("node", "n")).alias("low"), F.max("node").alias("high"))
-    shared = stored(shared.where("low.node < high").select("key", "low"))
-    bands = stored(bands.join(shared, "key"))
-    texts = compressed(rows, nodes.join(bands.select("node").distinct(), "node", "left_semi"))
-    near = lambda m, n: F.least(m, n) * least[1] >= F.greatest(m, n) * least[0]
-    pairs = bands.where((F.col("low.node") < F.col("node")) & near(F.col("low.n"), F.col("n")))
-    pairs = stored(pairs.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct())
-    links = verified(pairs, texts, size, least)
+    nodes = sets(rows, size, bands)
+    tried = close_prints(nodes, least)
+    keys = nodes.select("node", "n", F.explode("keys").alias("key"))
+    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    keys = stored(keys.join(shared.select("key"), "key"))
+    own = [keys.select("node"), *[tried.select(F.col(c).alias("node")) for c in ("a", "b")]]
+    texts = compressed(rows, nodes.join(functools.reduce(DataFrame.unionByName, own).distinct(), "node", "left_semi"))
+    links = verified(tried, texts, size, least)
     roots = stored(components(links, "a", "b"))
-    # sets of bands that still hold several components; the others are done with
-    of = bands.select("key", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    of = stored(of)
-    open_bands = of.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a < b").select("key")
-    apart = stored(of.join(open_bands, "key", "left_semi").select("node", "n", "root").distinct())
-    apart = stored(across(apart, texts, size, least).join(pairs, ["a", "b"], "left_anti"))
+    # sets of bands that hold several components; the others are done with
+    of, held = still_open(keys, roots)
+    pairs = of.join(held.select("key", "low"), "key").where((F.col("low.root") != F.col("root")) & near_sizes(F.col("low.n"), F.col("n"), least))
+    pairs = pairs.select(F.col("low.node").alias("a"), F.col("node").alias("b")).distinct()  # the lowest node of the band
+    pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"))
+    more = verified(pairs, texts, size, least)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        roots = stored(components(links, "a", "b"))
+        of, held = still_open(of, roots)
+    apart = stored(of.join(held.select("key"), "key", "left_semi").select("node", "n", "root").distinct())
+    apart = stored(across(apart, texts, size, least).join(tried.unionByName(pairs), ["a", "b"], "left_anti"))
     more = verified(apart, texts, size, least)
     if not more.isEmpty():
         roots = stored(components(links.unionByName(more), "a", "b"))
@@ -239,13 +288,15 @@ def groups(docs: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST,
     return nodes.join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root"), *first)
 
 
-def one_of_each(docs: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST, id_col="doc_id", text_col="text") -> DataFrame:
+def one_of_each(
+    docs: DataFrame, size: int = SHINGLE, least: tuple[int, int] = LEAST, id_col="doc_id", text_col="text", bands: int = BANDS,
+) -> DataFrame:
     """The rows of ``docs`` less near copies: of each group the row with the smallest id stays.
 
     Rows without an id come last. Of rows with the same id, one with the
     smallest MD5 of the text stays. Columns are those of ``docs``.
     """
-    of = groups(docs, size, least, id_col, text_col)
+    of = groups(docs, size, least, id_col, text_col, bands)
     first = of.groupBy("root").agg(F.min(F.struct("without", "doc_id", "t")).alias("f"))
     first = stored(first.select(F.col("f.doc_id").alias("doc_id"), F.col("f.t").alias("t")))
     own = {n: free_name(docs, n) for n in ("_t", "_st", "_sid")}

@@ -38,6 +38,25 @@ BITS = 64
 BATCH = 100_000
 
 
+def of_hashes(hashes: np.ndarray) -> int:
+    """64-bit SimHash: a bit is set if it is set in over half the hashes."""
+    set_ = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), BATCH):  # bounded memory for very long texts
+        part = np.unpackbits(hashes[at : at + BATCH].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        set_ += part.sum(0, dtype=np.int64)
+    return int(np.packbits(2 * set_ > len(hashes), bitorder="little").view("<u8")[0])
+
+
+def remixed(hashes: np.ndarray, i: int) -> np.ndarray:
+    """For the ``i``-th fingerprint of the same hashes: other ones, with bits independent of theirs; for 0 the same."""
+    if not i:
+        return hashes
+    x = hashes + np.uint64(i * 0x9E3779B97F4A7C15 % 2**64)  # the finaliser of splitmix64
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def fingerprint(text: str, size: int = SHINGLE) -> int:
     """64-bit SimHash of the word shingles of a text: a bit is set if it is set in over half the hashes."""
     words = text.encode().lower().split()  # bytes: A-Z alone are lower-cased, ASCII white space alone separates
@@ -52,11 +71,7 @@ def fingerprint(text: str, size: int = SHINGLE) -> int:
     stop = end[size - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter((digest(joined[a:b], SEED) for a, b in zip(start, stop, strict=True)), np.uint64, len(stop))
-    set_ = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), BATCH):  # bounded memory for very long texts
-        part = np.unpackbits(hashes[at : at + BATCH].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        set_ += part.sum(0, dtype=np.int64)
-    return int(np.packbits(2 * set_ > len(hashes), bitorder="little").view("<u8")[0])
+    return of_hashes(hashes)
 
 
 def fingerprints(docs: DataFrame, size: int = SHINGLE, id_col="doc_id", text_col="text") -> DataFrame:

@@ -83,3 +83,36 @@ def test_no_link_is_lost_around_the_threshold(spark, monkeypatch):
     kept, _ = compared(monkeypatch, spark, rows)
     assert kept == roots(rows)
     assert 1 < len(kept) < len(rows)
+
+
+def test_fingerprints_find_close_copies_and_only_true_links(spark):
+    """SimHash alone, without the complete search, groups close copies; sets beyond the threshold stay apart."""
+    from layerlake.llm import simhash
+
+    rows, kept = [], []
+    for k, edits in enumerate([1] * 6 + [40] * 6):
+        words = [f"d{k}w{j}" for j in range(500)]
+        rows.append((100 * k, " ".join(words)))
+        for i in range(1, 4):
+            own = list(words)
+            for at in random.Random(10 * k + i).sample(range(500), edits):
+                own[at] = f"new{k}x{i}x{at}"
+            rows.append((100 * k + i, " ".join(own)))
+        kept += [100 * k] if edits == 1 else [100 * k + i for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(r.doc_id for r in near_copies.one_of_each(df, bands=0).collect()) == kept == roots(rows)
+    # the pairs proposed are all those of fingerprints within the distance
+    texts = dict(variants(60, 400, [1, 2, 5, 9], seed=5))
+    hashes = {i: near_copies.shingles(t) for i, t in texts.items()}
+    prints = {i: [simhash.of_hashes(simhash.remixed(h, k)) for k in range(near_copies.PRINTS)] for i, h in hashes.items()}
+    close = set()
+    for k in range(near_copies.PRINTS):  # sets of one fingerprint are compared with the smallest of them
+        low = {p[k]: i for i, p in sorted(prints.items(), reverse=True)}
+        close |= {(low[p[k]], i) for i, p in prints.items()}
+        close |= {(min(a, b), max(a, b)) for x, a in low.items() for y, b in low.items() if (x ^ y).bit_count() <= near_copies.MOST}
+    close = {(a, b) for a, b in close if a < b}
+    signed = [(i, len(hashes[i]), np.array(p, np.uint64).view(np.int64).tolist()) for i, p in prints.items()]
+    nodes = spark.createDataFrame(signed, "node long, n long, prints array<long>")
+    got = {tuple(r) for r in near_copies.close_prints(nodes, near_copies.LEAST).collect()}
+    assert got == close and len(close) > 50
+    assert all(len(set(p)) == near_copies.PRINTS for p in prints.values())
