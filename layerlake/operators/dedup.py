@@ -19,6 +19,9 @@ def first_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
+    if len(rest) == 1:  # a number or date is kept by hash, without a sort; as in a struct, null is the smallest
+        least = F.when(~F.bool_or(F.col(rest[0]).isNull()), F.min(rest[0]))
+        return df.groupBy(*keys).agg(least.alias(rest[0])).select(*df.columns)
     picked = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
     return picked.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 

@@ -36,14 +36,14 @@ def clean_customers(raw: DataFrame, states: DataFrame) -> DataFrame:
 
 
 def unflagged_offers(raw: DataFrame) -> DataFrame:
-    """Competitor prices by product and competitor, with decimal price and real timestamp."""
+    """Competitor prices by product and competitor, with decimal price and, where it is given, real timestamp.
+
+    The lowest price of a pair stays; the time only decides between equal prices.
+    """
     unique = first_by_key(raw, ["product_id", "competitor"])
-    return unique.withColumn("competitor_price_cents", money.price_cents("competitor_price")).withColumns(
-        {
-            "competitor_price": money.from_cents("competitor_price_cents", money.AMOUNT),
-            "collected_at": F.to_timestamp("collected_at"),
-        }
-    )
+    priced = unique.withColumn("competitor_price_cents", money.price_cents("competitor_price"))
+    priced = priced.withColumn("competitor_price", money.from_cents("competitor_price_cents", money.AMOUNT))
+    return priced.withColumn("collected_at", F.to_timestamp("collected_at")) if "collected_at" in raw.columns else priced
 
 
 def clean_offers(raw: DataFrame, products: DataFrame, *, share: Decimal = fixed.SUSPICIOUS_SHARE) -> DataFrame:

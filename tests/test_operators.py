@@ -18,6 +18,25 @@ from layerlake.operators import checks, dedup, joins, pricing, profile, ranking,
 # -- de-duplication ----------------------------------------------------------
 
 
+def test_dedup_of_one_column_needs_no_sort(spark):
+    rows = [(1, 2.0), (1, None), (2, float("nan")), (2, 5.0), (2, 7.0), (None, 3.0), (None, 1.0), (3, None), (4, float("nan"))]
+    df = spark.createDataFrame(rows, "k int, x double").repartition(3)
+    got = dedup.first_by_key(df.select("x", "k"), ["k"])
+    whole = df.groupBy("k").agg(F.min(F.struct("x")).alias("r")).select("r.x", "k")  # null is smallest, NaN largest
+    assert got.columns == ["x", "k"] and sorted(map(str, got.collect())) == sorted(map(str, whole.collect()))
+    assert "SortAggregate" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_offers_without_a_time_keep_the_same_prices(spark, small):
+    from layerlake.plans.bindings import Tables
+    from layerlake.plans.cleaning import clean_offers
+
+    t = Tables(spark, small)
+    whole, bare = (clean_offers(raw, t.products()) for raw in (t.raw_offers(), t.raw_offers().drop("collected_at")))
+    assert [c for c in whole.columns if c != "collected_at"] == bare.columns
+    assert sorted(map(str, whole.drop("collected_at").collect())) == sorted(map(str, bare.collect()))
+
+
 def test_dedup_is_deterministic_whatever_the_order(spark):
     rows = [(1, "b", None), (1, "a", 9), (1, "a", 3), (2, "z", 1), (2, "z", 1)]
     results = set()
