@@ -34,7 +34,7 @@ from .vocab import Memo, byte_letters, unreached
 FILE = "word_bpe_49k.json"
 CAPACITY = 4096
 END = 1
-MEMORY = 1_200_000
+MEMORY = 14_000_000  # characters and overhead of remembered words
 WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@[-`{-~]*)").fullmatch
 
 

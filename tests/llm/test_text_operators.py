@@ -443,3 +443,12 @@ def test_pipeline_stages_keep_and_change_what_they_should(spark, small):
             got = [(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got]
         assert want and sorted(got, key=str) == sorted(want, key=str), name
         docs = out
+
+
+def test_word_memory_holds_a_large_vocabulary():
+    enc = packing.WordEncoder(public_tokenizers.path(packing.FILE))
+    words = [f"word{''.join(chr(97 + i // 26**k % 26) for k in range(4))}," for i in range(100_000)]
+    first = enc.encode(" ".join(words))
+    assert len(enc.word) == len(words) and len(enc.run) > len(words)  # nothing was dropped on the way
+    assert enc.encode(" ".join(words)) == first
+    assert enc.encode(" ".join(words[:50])) == np.array(enc.library.encode(" ".join(words[:50]), add_special_tokens=False).ids, "<u4").tobytes()
