@@ -1,16 +1,13 @@
 """How the words of each source differ from those of the other sources of its language.
 
-Texts are factored into chunks between ASCII white space, which no term crosses.
-Every task counts the chunks of its documents, how often and in how many
-documents they occur; Spark adds the counts up. Each chunk that occurs anywhere
-is cut into terms once, and its terms are joined back to its counts.
+Every task counts the terms of its documents, how often and in how many
+documents they occur. A document is counted in one task, so both counts add up
+exactly, and one pass over the texts decides which terms a language keeps: those
+of at least ``least`` of its documents.
 
-A language keeps the terms of at least ``least`` of its documents. For most
-terms the chunks' document counts decide: a source has no fewer documents with a
-term than with one chunk of it, and no more than with all its chunks together.
-For the terms in between, the documents that hold one of their chunks are read
-again and counted. A bitmap of fixed size leaves most other chunks out of that
-pass; what it lets through by chance is lost in the join, so the counts are exact.
+Of the ASCII characters only letters belong to terms, and in UTF-8 no byte of
+another character is ASCII. So terms are cut from bytes: one table turns A-Z to
+lower case and what separates terms into spaces, and the text is split at these.
 
 Shares are integers: p = 1 + floor(scale * (count + add) / (N + add * V)). The
 distance of two sources is the sum of |p - q| over all kept terms. It is added up
@@ -24,29 +21,25 @@ without kept terms has distances of 0. An empty table gives no rows.
 
 from __future__ import annotations
 
-import string
 from collections import Counter, defaultdict
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow_map, stored
 
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 LEAST = 30
 TOP = 50
 SCALE = 1_000_000_000
 ADD = 5
-ENTRIES = 400_000  # distinct chunks a task holds before it hands them on
-BYTES = 1 << 26
-BITS = 1 << 25
-BUCKET = 32_768  # bits of one of Spark's bitmaps
+ENTRIES = 400_000  # distinct terms a task holds before it hands them on
 BLOCK = 20_000  # rows of a block of terms
 CELLS = 4_000_000  # of a matrix
+LONG = (1 << 63) - 1
+TERM_BYTES = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalpha() else 32 for b in range(256))
 
 
 def grouped_texts(docs: DataFrame, text_col: str, lang_col: str, source_col: str) -> DataFrame:
@@ -54,8 +47,8 @@ def grouped_texts(docs: DataFrame, text_col: str, lang_col: str, source_col: str
     return docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(n) for n, c in named.items()])
 
 
-def chunk_counts(docs: DataFrame, text_col="text", lang_col="lang", source_col="source") -> DataFrame:
-    """lang, source, chunk, n (occurrences) and docs, stored; a chunk may have several rows of a group, to be added up.
+def term_counts(docs: DataFrame, text_col="text", lang_col="lang", source_col="source") -> DataFrame:
+    """lang, source, term, n (occurrences) and docs; a term may have several rows of a group, to be added up.
 
     Documents are dealt by group first, large groups over several tasks, so that
     a task has few groups and most of a group's counts are added up in it.
@@ -65,15 +58,15 @@ def chunk_counts(docs: DataFrame, text_col="text", lang_col="lang", source_col="
         def flushed(occurrences, documents):
             for (lang, source), counts in documents.items():
                 seen = occurrences[lang, source]
-                chunks = list(counts)
-                n, size = list(map(seen.__getitem__, chunks)), len(chunks)
-                yield pa.repeat(lang, size), pa.repeat(source, size), chunks, n, list(counts.values())
+                terms = list(counts)
+                n, size = list(map(seen.__getitem__, terms)), len(terms)
+                yield pa.repeat(lang, size), pa.repeat(source, size), terms, n, list(counts.values())
 
         def work(langs, sources, texts):
             occurrences, documents = defaultdict(Counter), defaultdict(Counter)
             entries = 0
             for lang, source, text in zip(langs.to_pylist(), sources.to_pylist(), texts, strict=True):
-                words = text.as_py().split()  # of bytes: at ASCII white space
+                words = text.as_py().translate(TERM_BYTES).split()
                 group = lang, source
                 if words:
                     before = len(documents[group])
@@ -90,101 +83,25 @@ def chunk_counts(docs: DataFrame, text_col="text", lang_col="lang", source_col="
 
     texts = grouped_texts(docs, text_col, lang_col, source_col).withColumn("text", F.col("text").cast("binary"))
     texts = texts.withColumn("row", F.monotonically_increasing_id()).repartitionByRange("lang", "source", "row").drop("row")
-    found = arrow_map(texts, make, "lang string, source string, chunk binary, n long, docs long")
-    return stored(found.withColumn("chunk", F.col("chunk").cast("string")))
+    found = arrow_map(texts, make, "lang string, source string, term binary, n long, docs long")
+    return found.withColumn("term", F.col("term").cast("string"))
 
 
-def chunk_terms(counts: DataFrame) -> DataFrame:
-    """chunk and term, stored: each chunk that occurs anywhere is cut once."""
-    return stored(counts.select("chunk").distinct().select("chunk", F.explode(terms_of(F.col("chunk"))).alias("term")))
+def kept_terms(counts: DataFrame, least: int) -> DataFrame:
+    """lang, source, term, n and n_lang, that of the whole language, of the terms in at least ``least`` of its documents; stored."""
+    of_lang = Window.partitionBy("term", "lang")
+    known = counts.withColumns({"docs_lang": F.sum("docs").over(of_lang), "n_lang": F.sum("n").over(of_lang)})
+    known = known.where(F.col("docs_lang") >= least).groupBy("lang", "source", "term")
+    return stored(known.agg(F.sum("n").alias("n"), F.max("n_lang").alias("n_lang")))
 
 
-def term_stats(counts: DataFrame, cut: DataFrame) -> DataFrame:
-    """lang, source, term, n (occurrences) and bounds for the documents that hold the term, stored.
-
-    The terms are joined back to the counts of their chunks. A source has at
-    least as many documents with a term as with the commonest chunk of it; of
-    two chunks no two documents need be the same, so at most as many as with all.
-    """
-    whole = counts.repartition("chunk").groupBy("lang", "source", "chunk").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    pieces = whole.join(cut.hint("shuffle_hash"), "chunk")  # a chunk's rows are in one task already
-    stats = pieces.groupBy("lang", "source", "term")
-    return stored(stats.agg(F.sum("n").alias("n"), F.max("docs").alias("low"), F.sum("docs").alias("high")))
-
-
-def terms_of(chunk: Column) -> Column:
-    return F.regexp_extract_all(F.translate(chunk, string.ascii_uppercase, string.ascii_lowercase), F.lit(TERM), F.lit(0))
-
-
-def bitmap(chunks: DataFrame) -> np.ndarray:
-    """``BITS`` bits, those of the chunks' hashes set: at most 1,024 rows of 4 kB are collected."""
-    place = F.pmod(F.xxhash64("chunk"), F.lit(BITS))
-    rows = chunks.select((place / BUCKET).cast("int").alias("bucket"), (place % BUCKET).alias("bit")).distinct()
-    rows = rows.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    out = np.zeros(BITS // 8, np.uint8)
-    for bucket, bits in rows.collect():
-        out[bucket * BUCKET // 8 :][: len(bits)] = np.frombuffer(bits, np.uint8)
-    return out
-
-
-def document_counts(docs: DataFrame, chunks: DataFrame, text_col="text", lang_col="lang", source_col="source") -> DataFrame:
-    """lang, term and docs: documents with at least one of the term's chunks. ``chunks`` has lang, chunk and term."""
-    bits = docs.sparkSession.sparkContext.broadcast(bitmap(chunks.select("chunk").distinct()).tobytes())
-
-    def make():
-        set_bits, digest, tested, wanted = bits.value, xxhash.xxh64_intdigest, set(), set()
-
-        def work(rows, langs, texts):
-            row_of, lang_of, held, size = [], [], [], 0
-            tested.clear(), wanted.clear()
-            for row, lang, text in zip(rows.to_pylist(), langs.to_pylist(), texts, strict=True):
-                text = text.as_py()
-                words = set(text.split())
-                for chunk in words - tested:
-                    at = digest(chunk, 42) % BITS
-                    if set_bits[at >> 3] >> (at & 7) & 1:
-                        wanted.add(chunk)
-                tested.update(words)
-                size += len(text)
-                here = words & wanted
-                held += here
-                row_of += [row] * len(here)
-                lang_of += [lang] * len(here)
-                if len(tested) > ENTRIES or size > BYTES:  # so much is remembered at a time
-                    tested.clear(), wanted.clear()
-                    size = 0
-                if len(held) > ENTRIES:
-                    yield row_of, lang_of, held
-                    row_of, lang_of, held = [], [], []
-            if held:
-                yield row_of, lang_of, held
-
-        return work
-
-    texts = grouped_texts(docs, text_col, lang_col, source_col)
-    texts = texts.select(F.monotonically_increasing_id().alias("row"), "lang", F.col("text").cast("binary"))
-    held = arrow_map(texts, make, "row long, lang string, chunk binary").withColumn("chunk", F.col("chunk").cast("string"))
-    held = held.join(chunks.hint("shuffle_hash"), ["lang", "chunk"]).select("lang", "term", "row").distinct()
-    return held.groupBy("lang", "term").agg(F.count("*").alias("docs"))
-
-
-def kept_terms(docs: DataFrame, cut: DataFrame, stats: DataFrame, least: int, **columns) -> DataFrame:
-    """lang and term of the terms in at least ``least`` documents of the language."""
-    bounds = stats.groupBy("lang", "term").agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
-    bounds = stored(bounds.where(F.col("high") >= least))
-    sure = bounds.where(F.col("low") >= least).select("lang", "term")
-    between = bounds.where(F.col("low") < least).select("lang", "term")
-    chunks = stored(cut.join(between, "term").select("lang", "chunk", "term").distinct())
-    if chunks.isEmpty():
-        return stored(sure)
-    exact = document_counts(docs, chunks, **columns)
-    return stored(sure.unionByName(exact.where(F.col("docs") >= least).select("lang", "term")))
-
-
-def share(count: str, scale: int, add: int) -> Column:
-    """p of a count, from the columns ``total`` and ``v``, in decimals and thus exact."""
+def share(count: str, total: str, scale: int, add: int) -> Column:
+    """p of a count, from the columns ``total`` and ``v``; exact: in decimals where a product may not fit 64 bits."""
+    whole = f"greatest({total} + {add} * v, 1)"
     part = f"(CAST({count} AS DECIMAL(24, 0)) + {add}) * CAST({scale} AS DECIMAL(12, 0))"
-    return F.expr(f"1 + ({part}) DIV CAST(greatest(total + {add} * v, 1) AS DECIMAL(24, 0))")
+    wide = f"({part}) DIV CAST({whole} AS DECIMAL(24, 0))"
+    short = f"((CAST({count} AS BIGINT) + {add}) * {scale}) DIV {whole}"
+    return F.expr(f"1 + CASE WHEN {total} + {add} <= {LONG // scale} THEN {short} ELSE {wide} END")
 
 
 def distances(shares: DataFrame, groups: DataFrame, n_blocks: int) -> DataFrame:
@@ -233,28 +150,20 @@ def audit(
     ``top`` terms that the source uses more than its language, by p - q.
     """
     columns = {"text_col": text_col, "lang_col": lang_col, "source_col": source_col}
-    counts = chunk_counts(docs, **columns)
-    cut = chunk_terms(counts)
-    stats = term_stats(counts, cut)
-    kept = kept_terms(docs, cut, stats, least, **columns)
-    used = stored(stats.join(kept, ["lang", "term"], "left_semi").select("lang", "source", "term", "n"))
+    used = kept_terms(term_counts(docs, **columns), least)
     sizes = used.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    v = used.groupBy("lang", "term").agg(F.sum("n").alias("n_lang"))
-    v = stored(v)
+    v = used.select("lang", "term").distinct().groupBy("lang").agg(F.count("*").alias("v"))
     groups = grouped_texts(docs, **columns).select("lang", "source").distinct().join(sizes, ["lang", "source"], "left")
-    groups = groups.join(v.groupBy("lang").agg(F.count("*").alias("v"), F.sum("n_lang").alias("total_lang")), "lang", "left")
-    groups = stored(groups.na.fill(0, ["total", "v", "total_lang"]))
-    shares = used.join(groups.select("lang", "source", "total", "v", "total_lang"), ["lang", "source"])
-    shares = stored(shares.select("lang", "source", "term", share("n", scale, add).alias("p")))
-    of_lang = groups.groupBy("lang").agg(F.first("total_lang").alias("total"), F.first("v").alias("v"), F.count("*").alias("sources"))
-    of_lang = stored(of_lang)
-    q = v.join(of_lang, "lang").select("lang", "term", share("n_lang", scale, add).alias("q"))
-
-    most = of_lang.agg(F.coalesce(F.max("sources"), F.lit(0))).first()[0]
-    n_blocks = max(1, shares.count() // max(BLOCK, most * most))
-    pairs = distances(shares, groups.select("lang", "source", share("0", scale, add).alias("p0")), n_blocks)
-    terms = shares.join(q, ["lang", "term"]).where("p > q")
-    terms = terms.select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
+    of_lang = sizes.groupBy("lang").agg(F.sum("total").alias("total_lang")).join(v, "lang")
+    groups = stored(groups.join(of_lang, "lang", "left").na.fill(0, ["total", "v", "total_lang"]))
+    shares = used.join(groups, ["lang", "source"])
+    p, q = share("n", "total", scale, add), share("n_lang", "total_lang", scale, add)
+    shares = shares.select("lang", "source", "term", p.alias("p"), q.alias("q"))
+
+    most = groups.groupBy("lang").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+    n_blocks = max(1, used.count() // max(BLOCK, most * most))
+    pairs = distances(shares, groups.select("lang", "source", share("0", "total", scale, add).alias("p0")), n_blocks)
+    terms = shares.where("p > q").select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     pairs = pairs.withColumn("rank", F.row_number().over(order)).withColumn("part", F.lit("pair"))
     terms = terms.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).withColumn("part", F.lit("term"))

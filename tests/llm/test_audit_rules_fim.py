@@ -86,6 +86,31 @@ def test_divergence_of_nothing(texts):
     assert none == distances(corpus(), 10_000, 50) and {r[4] for r in none} == {0}
 
 
+def test_texts_are_counted_in_one_pass(spark, monkeypatch):
+    """Also terms for which no bound decides: in too few documents as any one chunk, in enough as all of them."""
+    passes, arrow_map = [], divergence.arrow_map
+    monkeypatch.setattr(divergence, "arrow_map", lambda *a: passes.append(a[2]) or arrow_map(*a))
+    rows = [(f"foo{mark} {mark}foo the", "en", source) for mark in ".,!?" for source in "ab"]
+    df = spark.createDataFrame(rows, "text string, lang string, source string")
+    assert rows_of(divergence.audit(df, 8)) == distances(rows, 8, 50)
+    assert len(passes) == 1
+
+
+def test_terms_are_cut_from_bytes():
+    """Every code point, alone, between letters and beside its like."""
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for text in (" ".join(points), "Ab".join(points), "".join(points), "\x85\xa0 \u2028\x1c\u3000İK"):
+        assert text.encode().translate(divergence.TERM_BYTES).split() == [t.encode() for t in TERM.findall(text.translate(LOWER))]
+
+
+def test_shares_are_exact_beyond_64_bits(spark):
+    most = (2**63 - 1) // 10**9 - 5  # the largest total that needs no decimals
+    rows = [(n, total, v) for total in (0, 7, most - 1, most, most + 1, 10**16) for n in {0, 1, total // 3, total} if n <= total for v in (0, 1, 999_983)]
+    df = spark.createDataFrame(rows, "n long, total long, v long")
+    got = df.select("n", "total", "v", divergence.share("n", "total", 10**9, 5)).collect()
+    assert [tuple(r) for r in got] == [(n, t, v, 1 + (n + 5) * 10**9 // max(t + 5 * v, 1)) for n, t, v in rows]
+
+
 URLS = [
     None, "", "no scheme", "http://", "http:///x", "https://Example.ORG", "https://example.org/", "http://a.b.example.org/en/1", "x://example.org/en/12/3",
     "http://example.org/en/2?q=/en/1", "http://example.org/es", "http://example.org/es/", "http://notexample.org/es/x", "http://badexample.org.evil.com/de/a",
